@@ -71,14 +71,16 @@ FALLBACKS = {
 }
 
 
-def _gbt(preset: Preset, rows: int, seed: int) -> GBTClassifier:
+def _gbt(preset: Preset, rows: int, seed: int, **more) -> GBTClassifier:
     p = preset.params
     return GBTClassifier(
+        # One-vs-rest reads the margin under its own column name.
+        rawPredictionCol=f"{preset.key}_raw",
         maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"],
         subsamplingRate=p["rows"], featureSubsetStrategy=str(p["columns"]),
         minInstancesPerNode=p["leaf"], maxBins=p["bins"], seed=seed,
         # The wanted least gain is summed over rows, Spark's is their mean.
-        minInfoGain=p["gamma"] / max(rows, 1),
+        minInfoGain=p["gamma"] / max(rows, 1), **more,
     )
 
 
@@ -165,10 +167,10 @@ def fit_early_stopping(
     vectors = assembler.transform(training).drop(*features).persist()
     try:
         classes = int(vectors.agg(F.max(label)).head()[0]) + 1
-        base = _gbt(preset, rows, seed).setValidationIndicatorCol("watched")
-        base = base.setValidationTol(tolerance).setFeaturesCol(chooser.getFeaturesCol())
-        if preset.balanced:
-            base = base.setWeightCol(WEIGHT)
+        more = {"weightCol": WEIGHT} if preset.balanced else {}
+        base = _gbt(preset, rows, seed, validationIndicatorCol="watched", validationTol=tolerance,
+                    featuresCol=chooser.getFeaturesCol(), predictionCol=chooser.getPredictionCol(),
+                    **more)
 
         def one(c: int):
             binary = vectors.withColumn("_is", (F.col(label) == float(c)).cast("double"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
@@ -131,23 +132,24 @@ def correlation(
     """
     columns = list(columns or numeric_columns(df))
     types = dict(df.dtypes)
-    if pairwise:
-        r = _pairwise(df, columns, types)
-    else:
-        values = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-        rows = VectorAssembler(inputCols=values.columns, outputCol="v").transform(values).select("v")
-        matrix = Correlation.corr(rows, "v").head()[0].toArray()
-        r = {(i, j): float(matrix[i, j]) for i in range(len(columns)) for j in range(len(columns))}
-    rows = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            v = r[i, j]
-            v = None if v is None or v != v or (i != j and (r[i, i], r[j, j]) == (None, None)) else v
-            rows.append((a, b, i, j, v))
+    r = _pairwise(df, columns, types) if pairwise else _complete(df, columns)
+    rows = [(a, b, i, j, r[i, j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return local_rows(df.sparkSession, rows, "feature_i string, feature_j string, "
                       "pos_i int, pos_j int, r double")
 
 
+def _complete(df: DataFrame, columns: list[str]) -> dict:
+    values = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    rows = VectorAssembler(inputCols=values.columns, outputCol="v").transform(values).select("v")
+    matrix = Correlation.corr(rows, "v").head()[0].toArray()
+    r = {(i, j): float(v) if v == v else None for (i, j), v in np.ndenumerate(matrix)}
+    if len(columns) == 1 or any(v is None for v in r.values()):
+        # The diagonal comes back as 1 even for a constant column.
+        ends = values.agg(*[(F.min(c) == F.max(c)).alias(c) for c in values.columns]).head()
+        r.update({(i, i): None for i, flat in enumerate(ends) if flat})
+    return r
+
+
 def _pairwise(df: DataFrame, columns: list[str], types: dict) -> dict:
     xs = [number(c, types[c]) for c in columns]
     pairs = [(i, j) for i in range(len(xs)) for j in range(i, len(xs))]
