@@ -38,10 +38,11 @@ def use_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
-def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> Settled:
+def settle(df: DataFrame, max_rows: int | None = None) -> Settled:
     """Run `df` once. Up to `max_rows` rows come back as a broadcast local table;
     a bigger result is checkpointed and left to be joined by a shuffle, where
     adaptive execution splits hot keys."""
+    max_rows = MAX_LOCAL_ROWS if max_rows is None else max_rows
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows <= max_rows:
         return Settled(F.broadcast(df.sparkSession.createDataFrame(table)), table)

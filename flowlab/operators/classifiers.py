@@ -74,14 +74,12 @@ FALLBACKS = {
 def _gbt(preset: Preset, rows: int, seed: int, **more) -> GBTClassifier:
     p = preset.params
     return GBTClassifier(
-        # One-vs-rest reads the margin under its own column name.
-        rawPredictionCol=f"{preset.key}_raw",
         maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"],
         subsamplingRate=p["rows"], featureSubsetStrategy=str(p["columns"]),
         minInstancesPerNode=p["leaf"], maxBins=p["bins"], seed=seed,
         # The wanted least gain is summed over rows, Spark's is their mean.
         minInfoGain=p["gamma"] / max(rows, 1), **more,
-    )
+    ).setRawPredictionCol(f"{preset.key}_raw")  # where one-vs-rest reads the margin
 
 
 def _classifier(preset: Preset, rows: int, label: str, seed: int, parallelism: int) -> Estimator:

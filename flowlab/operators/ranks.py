@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.columns import col, key_hash, row_hash
@@ -24,36 +25,30 @@ RESOLVE_ROWS = 1_000_000
 COPIES_PER_TASK = 1_000_000
 
 
-def _locate(counts: DataFrame, keys: list[str], base: Column, rank: Column) -> DataFrame:
-    """Keep the prefix that holds the wanted rank, with the rows that come before it."""
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        counts.withColumn("_before", base + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_rank", rank)
-        .where(
-            ((F.col("_rank") > F.col("_before"))
-             & (F.col("_rank") <= F.col("_before") + F.col("_n")))
-            | ((F.col("_rank") == 0) & (F.col("_before") == 0))
-        )
-    )
+def _before(*keys: str) -> Column:
+    """Rows in the prefixes that come earlier."""
+    earlier = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+
+
+def _holds_rank() -> Column:
+    rank, before = F.col("_rank"), F.col("_before")
+    return ((rank > before) & (rank <= before + F.col("_n"))) | ((rank == 0) & (before == 0))
 
 
 def _first_pass(rows: DataFrame, cuts: Sequence[Callable[[Column], Column]]) -> Settled:
-    counts = rows.groupBy("_c", F.substr("_h", F.lit(1), F.lit(PREFIXES[0])).alias("_p")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
     size = F.sum("_n").over(Window.partitionBy("_c"))
     wanted = [F.least(F.greatest(cut(F.col("_size")), F.lit(0)), F.col("_size")).cast("long")
               for cut in cuts]
-    located = _locate(
-        counts.withColumn("_size", size)
-        .withColumn("_ranks", F.array(*wanted))
-        .select("*", F.posexplode("_ranks").alias("_j", "_r")),
-        ["_c", "_j"], F.lit(0), F.col("_r"),
+    counts = (
+        rows.groupBy("_c", F.substr("_h", F.lit(1), F.lit(PREFIXES[0])).alias("_p"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_size", size)
+        .withColumn("_before", _before("_c"))
     )
-    return settle(located.select("_c", "_j", "_p", "_n", "_before", "_rank"))
+    return settle(
+        counts.select("_c", "_p", "_n", "_before", F.posexplode(F.array(*wanted)).alias("_j", "_rank"))
+        .where(_holds_rank()))
 
 
 def _next_pass(rows: DataFrame, found: DataFrame, length: int, target: int) -> DataFrame:
@@ -66,9 +61,9 @@ def _next_pass(rows: DataFrame, found: DataFrame, length: int, target: int) -> D
                  F.substr("_h", F.lit(1), F.lit(target)).alias("_p"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return _locate(counts, ["_c", "_j"], F.col("_base"), F.col("_r")).select(
-        "_c", "_j", "_p", "_n", "_before", "_rank"
-    )
+    located = counts.withColumn("_before", F.col("_base") + _before("_c", "_j"))
+    return located.withColumnRenamed("_r", "_rank").where(_holds_rank()).select(
+        "_c", "_p", "_n", "_before", "_j", "_rank")
 
 
 def _thresholds(rows: DataFrame, cuts, digits: int, resolve_rows: int) -> Settled:
@@ -90,6 +85,30 @@ def _thresholds(rows: DataFrame, cuts, digits: int, resolve_rows: int) -> Settle
     ))
 
 
+def _per_class(found: Settled, n: int) -> DataFrame:
+    """One row per class: hash and rank of every cut, and the hashes that a cut splits."""
+    if found.table is None:
+        at = F.col("_j")
+        return settle(found.df.groupBy(F.col("_c").alias("_fc")).agg(
+            *[F.max(F.when(at == j, F.col("_t"))).alias(f"_t{j}") for j in range(n)],
+            *[F.max(F.when(at == j, F.col("_rank"))).alias(f"_r{j}") for j in range(n)],
+            F.collect_set(F.when(F.col("_partial") == 1, F.col("_t"))).alias("_split"),
+        )).df
+    classes: dict = {}
+    for row in found.table.to_pylist():
+        t, r, split = classes.setdefault(row["_c"], ([""] * n, [0] * n, []))
+        t[row["_j"]], r[row["_j"]] = row["_t"], row["_rank"]
+        if row["_partial"]:
+            split.append(row["_t"])
+    columns = [pa.array(list(classes), found.table.schema.field("_c").type)]
+    columns += [pa.array([v[0][j] for v in classes.values()], pa.string()) for j in range(n)]
+    columns += [pa.array([v[1][j] for v in classes.values()], pa.int64()) for j in range(n)]
+    columns.append(pa.array([v[2] for v in classes.values()], pa.list_(pa.string())))
+    names = ["_fc", *[f"_t{j}" for j in range(n)], *[f"_r{j}" for j in range(n)], "_split"]
+    local = pa.Table.from_arrays(columns, names=names)
+    return F.broadcast(found.df.sparkSession.createDataFrame(local))
+
+
 def rank_segments(
     df: DataFrame,
     cuts: Sequence[Callable[[Column], Column]],
@@ -116,12 +135,7 @@ def rank_segments(
         rows = df.select(c.alias("_c"), h.alias("_h"))
         found = _thresholds(rows, cuts, 64, resolve_rows)
 
-    per_class = found.df.groupBy(F.col("_c").alias("_fc")).agg(
-        *[F.max(F.when(F.col("_j") == j, F.col("_t"))).alias(f"_t{j}") for j in range(len(cuts))],
-        *[F.max(F.when(F.col("_j") == j, F.col("_rank"))).alias(f"_r{j}") for j in range(len(cuts))],
-        F.collect_set(F.when(F.col("_partial") == 1, F.col("_t"))).alias("_split"),
-    )
-    limits = settle(per_class).df
+    limits = _per_class(found, len(cuts))
     keyed = df.withColumn("_h", h).join(limits, c.eqNullSafe(F.col("_fc")))
     after = [F.when(F.col("_h") > F.col(f"_t{j}"), 1).otherwise(0) for j in range(len(cuts))]
     segment = sum(after[1:], after[0])
