@@ -137,12 +137,18 @@ def shape(spark, sf_dir):
     return E.shape(flows(spark, sf_dir).select(*FEATURES, "label"))
 
 
-@query("dtypes")
+# DuckDB's type names in Spark's spelling.
+DESCRIBED = f"""SELECT row_number() OVER () - 1 AS position, column_name AS "column",
+  CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+    ELSE lower(column_type) END AS dtype FROM (DESCRIBE WITH {FLOWS} SELECT * FROM flows)"""
+
+
+@query("dtypes", f"SELECT CAST(position AS INTEGER) AS position, \"column\", dtype FROM ({DESCRIBED})")
 def dtypes(spark, sf_dir):
     return E.dtypes(flows(spark, sf_dir))
 
 
-@query("dtype_counts")
+@query("dtype_counts", f"SELECT dtype, count(*) AS columns FROM ({DESCRIBED}) GROUP BY dtype")
 def dtype_counts(spark, sf_dir):
     return E.dtype_counts(flows(spark, sf_dir))
 
@@ -822,7 +828,7 @@ def model_save_load(spark, sf_dir):
     return T.vote_accuracy(score(test, loaded, ["band"]), "vote", "band")
 
 
-@query("report_tables")
+@query("report_tables", report_sql(COUNTS, REPORT_COLUMNS))
 def report_tables(spark, sf_dir):
     counts = pseudo_counts(spark, sf_dir)
     folder = scratch(spark)
@@ -830,7 +836,7 @@ def report_tables(spark, sf_dir):
         "confusion": V.confusion_matrix(counts), "classes": V.class_report(counts),
         "metrics": V.summary(counts), "diagonal": V.diagonal(counts),
     }, folder)
-    return reports.read_report(spark, folder, "classes")
+    return rounded(reports.read_report(spark, folder, "classes"), 6, "precision", "recall", "f1")
 
 
 @query("confidence", f"""WITH {FLOWS}, s AS (SELECT {KEYS}, quantity / (quantity + 20 + 100 * tax) AS a,

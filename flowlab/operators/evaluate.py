@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowlab.functions.columns import col, ratio
 from flowlab.functions.verdicts import MILD, gap_verdict
 
-SCORE_BUCKETS = 1_000
+# Score ranges for running sums: about this many rows each, and at most so many ranges.
+ROWS_PER_BUCKET = 100_000
+MAX_BUCKETS = 10_000
+# Sampled rows per range when the ends of the ranges are chosen.
+SAMPLE_PER_BUCKET = 200
 
 
 def confusion_counts(
@@ -132,20 +136,31 @@ def _score_groups(df: DataFrame, score: str, positive: Column) -> DataFrame:
     )
 
 
-def roc(df: DataFrame, score: str, positive: Column, buckets: int = SCORE_BUCKETS) -> DataFrame:
+def _score_splits(df: DataFrame, score: str, buckets: int | None) -> list[float]:
+    """Ends of ranges with about equally many rows, from a sample: they only balance
+    the work, so the result does not depend on them."""
+    rows = df.count()
+    buckets = buckets or max(2, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
+    share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1))
+    probs = [i / buckets for i in range(1, buckets)]
+    s = col(score).cast("double")
+    ends = df.select(s.alias("s")).sample(share, 17).agg(
+        F.percentile_approx("s", probs, 10 * buckets)).head()[0]
+    inner = sorted({e for e in ends or [] if e == e and abs(e) != float("inf")})
+    return [float("-inf"), *(inner or [0.0]), float("inf")]
+
+
+def roc(df: DataFrame, score: str, positive: Column, buckets: int | None = None) -> DataFrame:
     """True and false positive rate at each distinct score, counting rows at or above it.
 
     The running sums are taken inside score ranges and shifted by the totals of the
     higher ranges, so no task sees more than one range.
     """
     groups = _score_groups(df, score, positive)
-    probs = [i / buckets for i in range(1, buckets)]
-    ends = df.agg(F.percentile_approx(col(score).cast("double"), probs, 10 * buckets)).head()[0]
-    inner = sorted({e for e in ends or [] if e == e})
-    splits = [float("-inf"), *(inner or [0.0]), float("inf")]
+    splits = _score_splits(df, score, buckets)
     ranged = Bucketizer(splits=splits, inputCol="threshold", outputCol="_b").transform(groups)
     higher = Window.partitionBy(F.lit(1)).orderBy(F.desc("_b")).rowsBetween(
-        Window.unboundedPreceding, -1)  # at most `buckets` rows
+        Window.unboundedPreceding, -1)  # one row per range, MAX_BUCKETS at most
     whole = Window.partitionBy(F.lit(1))
     totals = ranged.groupBy("_b").agg(F.sum("_p").alias("_bp"), F.sum("_q").alias("_bq"))
     shift = totals.select(

@@ -124,7 +124,7 @@ def cv_subsample(
         rank = F.row_number().over(Window.partitionBy("_c").orderBy(*order))
         again = F.floor((F.lit(min_rows) - F.col("_i")) / F.col("_n"))
         extra = (
-            sample.join(F.broadcast(tiny), col(label).eqNullSafe(F.col("_c")))
+            sample.join(tiny, col(label).eqNullSafe(F.col("_c")))
             .withColumn("_i", rank)
             .where(again >= 1)
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), again.cast("long"))))
