@@ -136,7 +136,15 @@ def rank_segments(
         found = _thresholds(rows, cuts, 64, resolve_rows)
 
     limits = _per_class(found, len(cuts))
-    keyed = df.withColumn("_h", h).join(limits, c.eqNullSafe(F.col("_fc")))
+    keyed = df.withColumn("_h", h)
+    if label:
+        keyed = keyed.join(limits, c.eqNullSafe(F.col("_fc")))
+    else:
+        only = limits.head()
+        if only is None:
+            return df.withColumn(out, F.lit(0))
+        keyed = keyed.withColumns(
+            {n: F.lit(only[n]).cast(t) for n, t in limits.dtypes})
     after = [F.when(F.col("_h") > F.col(f"_t{j}"), 1).otherwise(0) for j in range(len(cuts))]
     segment = sum(after[1:], after[0])
     plain = [col(n) for n in columns]

@@ -141,12 +141,13 @@ def cv_subsample(
 
 def ensure_classes(
     part: DataFrame, full: DataFrame, label: str,
-    key_cols: Sequence[str] | None = None, seed: int = 42,
+    key_cols: Sequence[str] | None = None, seed: int = 42, classes: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds one row from `full` for every class that `part` lost."""
+    """Adds one row from `full` for every class that `part` lost. `classes` may name a
+    smaller table that is known to hold every class; `full` is then read only if needed."""
     present = part.select(col(label).alias("_pc")).distinct()
     absent = settle(
-        full.select(col(label).alias("_c")).distinct()
+        (full if classes is None else classes).select(col(label).alias("_c")).distinct()
         .join(present, F.col("_c").eqNullSafe(F.col("_pc")), "left_anti")
     )
     if absent.table is not None and absent.table.num_rows == 0:

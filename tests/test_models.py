@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from flowlab.operators import bayes
 from flowlab.operators import classifiers as C
 from flowlab.operators import evaluate as V
 from flowlab.operators import sampling as M
@@ -45,7 +46,9 @@ def test_every_model_beats_the_largest_class(data, fitted):
         assert scored[f"{key}_confidence"].between(1 / 3 - 1e-9, 1).all(), key
 
 
-def test_bayes_equals_the_formula(data, fitted):
+@pytest.mark.parametrize("terms", [256, 0])
+def test_bayes_equals_the_formula(data, fitted, monkeypatch, terms):
+    monkeypatch.setattr(bayes, "NATIVE_TERMS", terms)
     train, test = (d.toPandas() for d in data)
     m, s = train[FEATURES].mean(), train[FEATURES].std(ddof=0).replace(0, 1)
     a, b = ((d[FEATURES] - m) / s for d in (train, test))

@@ -132,7 +132,24 @@ def test_sample_n_large_and_small(rows):
     assert {r["id"] for r in M.sample_n(df, 300, ["id"], top_rows=10).collect()} == set(order[:300])
 
 
+def test_empty_table(rows):
+    empty = rows[0].where("id < 0")
+    assert M.assign_folds(empty, "label", 3, ["id"]).count() == 0
+    assert M.random_split(empty, 0.2, ["id"]).count() == 0
+    assert M.stratified_split(empty, "label", 0.2, ["id"]).count() == 0
+
+
 def test_per_class_sample(rows):
     df, data = rows
     sizes = Counter(r["label"] for r in M.per_class_sample(df, "label", 10, ["id"]).collect())
     assert sizes == {"big": 2, None: 2, "one": 1, "two": 2, "three": 2}
+
+
+def test_rows_are_not_shuffled_or_sorted(spark, rows, tmp_path):
+    rows[0].write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    for out in (M.stratified_sample(df, "label", 0.1, ["id"]), M.assign_folds(df, "label", 3, ["id"]),
+                M.random_split(df, 0.2, ["id"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan
+        assert not any(x in plan for x in ("Exchange hash", "Exchange range", "Exchange Single", "Window", "Sort"))
