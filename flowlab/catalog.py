@@ -1,8 +1,8 @@
 """Registered queries over the driver tables, each with its SQL where SQL can say it.
 
 `lineitem` stands in for the flow table: its rows are flows, `label` is the return flag
-with the line status (six classes), and three derived columns make a redundant, a
-near-constant and a constant feature. `band` is a class that depends on the features
+with the line status (six classes), and derived columns make a redundant (`revenue`), a
+redundant and near-constant (`tiny`) and a constant feature. `band` is a class that depends on the features
 in nine rows of ten, for the classifiers. `events` and `orders` are two sources of differing columns.
 """
 
@@ -70,7 +70,7 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
-        (F.col("l_discount") * 0.01).alias("tiny"),
+        (F.col("l_discount") * 0.01 + F.col("l_tax") * 0.001).alias("tiny"),
         F.lit(1.0).alias("constant"),
         F.concat("l_returnflag", "l_linestatus").alias("label"),
         F.when(F.col("l_partkey") % 10 == 0, F.col("l_suppkey") % 6).otherwise(
@@ -82,7 +82,7 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 FLOWS = f"""flows AS (
   SELECT {KEYS}, l_quantity AS quantity, l_extendedprice AS price,
     l_discount AS discount, l_tax AS tax, l_extendedprice * (1 - l_discount) AS revenue,
-    l_discount * 0.01 AS tiny, CAST(1 AS DOUBLE) AS constant,
+    l_discount * 0.01::DOUBLE + l_tax * 0.001::DOUBLE AS tiny, CAST(1 AS DOUBLE) AS constant,
     l_returnflag || l_linestatus AS label,
     CASE WHEN l_partkey % 10 = 0 THEN l_suppkey % 6 ELSE
       CAST(2 * floor((l_quantity - 1) / 17) + CASE WHEN l_tax >= 0.04 THEN 1 ELSE 0 END AS BIGINT)
