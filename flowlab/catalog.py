@@ -1,9 +1,10 @@
 """Registered queries over the driver tables, each with its SQL where SQL can say it.
 
-`lineitem` stands in for the flow table: its rows are flows, `label` is the return flag
-with the line status (six classes), and derived columns make a redundant (`revenue`), a
-redundant and near-constant (`tiny`) and a constant feature. `band` is a class that depends on the features
-in nine rows of ten, for the classifiers. `events` and `orders` are two sources of differing columns.
+`lineitem` stands in for the flow table: its rows are flows, and `label` is the return
+flag with the line status (six classes). Derived columns make a redundant feature
+(`revenue`), one that is redundant and hardly varies (`tiny`) and a constant one. `band`
+is a class that depends on the features in nine rows of ten, for the classifiers.
+`events` and `orders` are two sources of differing columns.
 """
 
 from __future__ import annotations
