@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding
+from flowlab.llm import (chat_format, decontaminate, jaccard_join, licence_scan, line_dedup, mixing, pii,
+                         pii_lines, quality_rules, sharding, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("""
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations GROUP BY ALL),
+r AS (SELECT *, row_number() OVER w AS place,
+    '<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' AS line,
+    md5(to_json([role, text])) AS h
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+p AS (SELECT conv_id, place, string_agg(h, '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix FROM r),
+c AS (SELECT conv_id, max(place) AS n_turns, max_by(prefix, place) AS whole FROM p GROUP BY conv_id),
+k AS (SELECT min(conv_id) AS conv_id, n_turns, count(*) AS n_equal, whole FROM c GROUP BY n_turns, whole),
+inner_ AS (SELECT DISTINCT prefix FROM p JOIN c USING (conv_id) WHERE place < n_turns)
+SELECT k.conv_id, k.n_turns, k.n_equal, string_agg(r.line, chr(10) ORDER BY r.place) AS text
+FROM k JOIN r USING (conv_id) WHERE k.whole NOT IN (SELECT prefix FROM inner_)
+GROUP BY k.conv_id, k.n_turns, k.n_equal""")
+def op1_chat_format(spark, sf_dir):
+    """Maximal conversations, rendered."""
+    return chat_format.maximal_conversations(table(spark, sf_dir, "conversations"))
+
+
+# The rules of this query.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+# Names of sites that are listed as unwanted, under each of these ends.
+LISTED = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+LISTED_HOSTS = [f"{name}.example.{end}" for name in LISTED for end in ("com", "net", "org")]
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+_LISTED = ", ".join(f"'{h}'" for h in LISTED_HOSTS)
+
+
+@query(f"""
+WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r
+  FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, coalesce(r, '') AS r FROM u)),
+f AS (SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS verdict
+  FROM h JOIN (VALUES {_RULES}) AS rules(h, p, v)
+    ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
+l AS (SELECT DISTINCT page_id FROM h JOIN (SELECT unnest([{_LISTED}]) AS listed_host)
+    ON host = listed_host OR ends_with(host, '.' || listed_host))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN l.page_id IS NULL THEN 'allow' ELSE 'block' END)
+    AS verdict, verdict IS NULL AND l.page_id IS NOT NULL AS listed
+FROM h LEFT JOIN f USING (page_id) LEFT JOIN l USING (page_id)""")
+def op2_url_filter(spark, sf_dir):
+    """Rules, then listed sites, looked up for every url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    listed = spark.createDataFrame([(h, "", url_filter.BLOCK) for h in LISTED_HOSTS],
+                                   "host string, path string, verdict string")
+    return url_filter.judge_urls(
+        table(spark, sf_dir, "pages"),
+        url_filter.rule_table(rules).union(url_filter.rule_table(listed, listed=True)))
+
+
+@query()
+def op3_pii(spark, sf_dir):
+    """Personal data by fixed patterns and by the trained tagger."""
+    model = pii.fit(spark.createDataFrame(pii_lines.labelled_lines(), "text string, spans string"))
+    return pii.find_personal_data(table(spark, sf_dir, "documents"), model)
+
+
+@query()
+def op4_line_dedup(spark, sf_dir):
+    """Documents without the blocks of lines that an earlier one has."""
+    return line_dedup.drop_shared_lines(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "row.text", "n_lines", "n_deleted")
+
+
 @query()
 def op5_decontaminate(spark, sf_dir):
     """Benchmark items found in whole documents, with up to 6 % of edits."""
@@ -49,6 +117,12 @@ def op8_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+@query()
+def op9_licence_scan(spark, sf_dir):
+    """Licence phrases and notices in whole documents."""
+    return licence_scan.scan_licences(table(spark, sf_dir, "documents"))
+
+
 # Base rules, and lines that more than a tenth (and 10 or more) of a source's texts have.
 QUALITY_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
