@@ -3,7 +3,7 @@
 Method: words are described by their shape (letters, digits and marks in runs), by how many
 digits they hold and by a short list of telling words; a conditional random field over a
 line's words, trained from a small labelled table, weighs these features for each word and
-its two neighbours, and Viterbi's algorithm, in numpy over many lines at once, finds the
+two neighbours on either side, and Viterbi's algorithm, in numpy over many lines at once, finds the
 most likely labels. Its spans are added to those of the fixed patterns.
 
 Features depend on a word's key only, so weights are summed once per different key. Long
@@ -140,6 +140,8 @@ def key_of(word: str) -> tuple[str, ...]:
 # ---------------------------------------------------------------- the model
 
 STATES = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
+AROUND = 2                   # neighbours on either side whose features count
+OFFSETS = 2 * AROUND + 1
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -150,14 +152,14 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 @dataclass
 class Crf:
     features: dict[str, int]
-    weights: np.ndarray      # offset (-1, 0, 1), feature, state
+    weights: np.ndarray      # offset from -AROUND, feature, state
     moves: np.ndarray        # state, next state
     starts: np.ndarray       # state of the first word
     run: int = 0             # plain words that surely are outside in their middle; 0: never
 
     def scores(self, keys: list[tuple[str, ...]]) -> np.ndarray:
         """offset, key, state."""
-        out = np.zeros((3, len(keys), STATES), np.float32)
+        out = np.zeros((OFFSETS, len(keys), STATES), np.float32)
         for i, key in enumerate(keys):
             for f in key:
                 if (at := self.features.get(f)) is not None:
@@ -238,19 +240,19 @@ def train(labelled: list[tuple[str, str]], rounds: int = 120, rate: float = 0.15
         has[i, [features[f] for f in key]] = 1
     n, longest = len(codes), max(map(len, codes), default=1)
     lengths = np.array([len(c) for c in codes])
-    code = np.full((n, longest + 2), len(keys))
+    code = np.full((n, longest + 2 * AROUND), len(keys))
     state = np.zeros((n, longest), int)
     for i, (c, g) in enumerate(zip(codes, gold)):
-        code[i, 1:len(c) + 1], state[i, :len(g)] = c, g
+        code[i, AROUND:len(c) + AROUND], state[i, :len(g)] = c, g
     real = np.arange(longest) < lengths[:, None]
     rows = np.arange(n)
-    weights = np.zeros((3, len(features), STATES))
+    weights = np.zeros((OFFSETS, len(features), STATES))
     moves, starts = np.zeros((STATES, STATES)), np.zeros(STATES)
     params = [weights, moves, starts]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, rounds + 1):
-        table = np.concatenate([has @ weights, np.zeros((3, 1, STATES))], axis=1)
-        emitted = sum(table[o][code[:, o:o + longest]] for o in range(3))
+        table = np.concatenate([has @ weights, np.zeros((OFFSETS, 1, STATES))], axis=1)
+        emitted = sum(table[o][code[:, o:o + longest]] for o in range(OFFSETS))
         ahead = np.zeros((n, longest, STATES))
         ahead[:, 0] = starts + emitted[:, 0]
         for t in range(1, longest):
@@ -268,8 +270,8 @@ def train(labelled: list[tuple[str, str]], rounds: int = 120, rate: float = 0.15
             np.add.at(pairs, (state[hit, t], state[hit, t + 1]), -1)
         chance = np.exp(ahead + behind - whole[:, None, None]) * real[:, :, None]
         np.add.at(chance, (rows[:, None], np.arange(longest)[None], state), -1.0 * real)
-        by_key = np.zeros((3, len(keys) + 1, STATES))
-        for o in range(3):
+        by_key = np.zeros((OFFSETS, len(keys) + 1, STATES))
+        for o in range(OFFSETS):
             np.add.at(by_key[o], code[:, o:o + longest], chance)
         slopes = [np.einsum("kf,oks->ofs", has, by_key[:, :-1]), pairs, chance[:, 0].sum(axis=0)]
         for p, g, a, b in zip(params, slopes, first, second):
@@ -295,10 +297,13 @@ def _labels(model: Crf, codes: np.ndarray, scores: np.ndarray, line_starts: np.n
     first[line_starts[line_starts < n]] = True
     first[n] = True
     last = first[1:]
-    before = np.where(first[:n], len(scores[0]) - 1, np.concatenate([[0], codes[:-1]]))
-    after = np.where(last, len(scores[0]) - 1, np.concatenate([codes[1:], [0]]))
-    # A calm word is plain between plain ones; the others, and some words around, are decoded.
-    calm = (codes == plain) & (before == plain) & (after == plain)
+    nothing = len(scores[0]) - 1
+    near = {0: codes}
+    for d in range(1, AROUND + 1):
+        near[-d] = np.where(first[:n], nothing, np.concatenate([[nothing], near[1 - d][:-1]]))
+        near[d] = np.where(last, nothing, np.concatenate([near[d - 1][1:], [nothing]]))
+    # A calm word is plain among plain ones; the others, and some words around, are decoded.
+    calm = np.logical_and.reduce([x == plain for x in near.values()])
     wanted = np.ones(n, bool)
     if model.run:
         reach = model.run // 2 + 1
@@ -309,11 +314,15 @@ def _labels(model: Crf, codes: np.ndarray, scores: np.ndarray, line_starts: np.n
         wanted = np.cumsum(edge[:n]) > 0
     begins = np.flatnonzero(wanted & (first[:n] | ~np.concatenate([[False], wanted[:-1]])))
     ends = np.flatnonzero(wanted & (last | ~np.concatenate([wanted[1:], [False]]))) + 1
-    # Parts without a telling word are calm but for the ends of their line.
+    # Plain words only, at an end of their line: one part stands for all of its length.
     busy = np.concatenate([[0], np.cumsum(codes != plain)])
-    some = busy[ends] > busy[begins]
-    begins, ends = begins[some], ends[some]
-    order = np.argsort(begins - ends, kind="stable")
+    quiet = busy[ends] == busy[begins]
+    kinds = (ends - begins) * 4 + first[begins] * 2 + last[ends - 1]
+    same, models = np.unique(kinds[quiet], return_index=True)
+    models = np.flatnonzero(quiet)[models]
+    chosen = np.concatenate([np.flatnonzero(~quiet), models])
+    order = chosen[np.argsort((begins - ends)[chosen], kind="stable")]
+    all_begins, all_ends = begins, ends
     begins, ends = begins[order], ends[order]
     lengths = ends - begins
     at = 0
@@ -321,11 +330,16 @@ def _labels(model: Crf, codes: np.ndarray, scores: np.ndarray, line_starts: np.n
         stop = at + max(1, int(CELLS // lengths[at]))
         b, e, size = begins[at:stop], ends[at:stop], lengths[at:stop]
         spots = np.minimum(b[:, None] + np.arange(size[0]), n - 1)
-        emitted = scores[0][before[spots]] + scores[1][codes[spots]] + scores[2][after[spots]]
+        emitted = sum(scores[AROUND + d][x[spots]] for d, x in near.items())
         found = model.viterbi(emitted, size, first[b], last[e - 1])
         real = np.arange(size[0]) < size[:, None]
         states[spots[real]] = found[real]
         at = stop
+    for kind, model_part in zip(same, models):
+        got = states[all_begins[model_part]:all_ends[model_part]].copy()
+        if got.any():
+            for b in all_begins[quiet & (kinds == kind)]:
+                states[b:b + len(got)] = got
     return states
 
 
@@ -348,7 +362,7 @@ class Tagger:
         by_word = np.fromiter((keys.setdefault(key_of(w), len(keys)) for w in coded.dictionary.to_pylist()),
                               np.int64, len(coded.dictionary))
         codes = by_word[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int64)
-        scores = np.concatenate([self.model.scores(list(keys)), np.zeros((3, 1, STATES), np.float32)], axis=1)
+        scores = np.concatenate([self.model.scores(list(keys)), np.zeros((OFFSETS, 1, STATES), np.float32)], axis=1)
         text_at = line_at[lines.offsets.to_numpy() - lines.offsets[0].as_py()]
         return _labels(self.model, codes, scores, line_at[:-1], 0), text_at
 

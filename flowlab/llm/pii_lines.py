@@ -54,8 +54,8 @@ def _value(kind: str, r: random.Random) -> str:
         name += r.choice(["", "", f".{r.randint(1, 99)}", f"_{r.randint(1, 99)}", f"{r.randint(1, 99)}"])
         site += r.choice(["", str(r.randint(1, 9))])
         site = r.choice([site, f"{site}.{r.choice(SITES)}"])
-        return r.choice([f"{name}@{site}.{end}"] * 4 + [
-            f"{name} at {site} dot {end}", f"{name} [at] {site} [dot] {end}", f"{name}(at){site}.{end}",
+        return r.choice([f"{name}@{site}.{end}"] * 4 + [f"{name} at {site} dot {end}"] * 2 + [
+            f"{name} [at] {site} [dot] {end}", f"{name}(at){site}.{end}",
             f"{name} (at) {site} (dot) {end}"])
     if kind == "phone":
         a, b, c = _digits(r, 3), _digits(r, 3), _digits(r, 4)
