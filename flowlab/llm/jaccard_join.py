@@ -14,8 +14,9 @@ Steps, none of which forms all pairs of a group as rows:
 3. The rest emit signatures. Signatures shared by two or more are groups; groups with the
    same members are looked at once, large ones in pairs of blocks.
 4. In a group, fingerprints of finer parts give a lower bound of how far two sets differ.
-   Sets that may be linked form subgroups, of which each different one is kept.
-5. In a subgroup the sets themselves are compared, and links that join it are returned.
+   Sets that may be linked are joined to clusters, so that each set is in one only.
+5. In a cluster the sets themselves are compared, and links that join it are returned;
+   large clusters go in pairs of blocks.
 6. Components of the links, by large and small stars.
 
 Cases: a null or wordless text has an empty set and links with nothing. Rows without an id
@@ -33,8 +34,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlab.functions.columns import col
 from flowlab.llm.common import stored, text_of, whole_rows
@@ -67,16 +67,15 @@ class PartEnum:
 
     def instances(self, size: int, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(band, first-level partitions, those of them needed) under which a set of this
-        size can meet a partner: its own band and, near the upper end, the next one."""
-        home = int(np.searchsorted(bounds, size, side="right")) - 1
-        for b in (home, home + 1):
-            if 100 * size < self.percent * int(bounds[b]):
-                return
+        size can meet a partner: its own band and those above that hold larger partners."""
+        b = int(np.searchsorted(bounds, size, side="right")) - 1
+        while 100 * size >= self.percent * int(bounds[b]):
             top = int(bounds[b + 1]) - 1
             partner = min(top, 100 * size // self.percent)
             # With any partner, the first `need` partitions leave too few differences for all.
             need = self.differ(size + partner) // (self.away + 1) + 1
             yield b, self.differ(2 * top) // (self.away + 1) + 1, need
+            b += 1
 
     def signatures(self, features: np.ndarray, band: int, cells: int, need: int) -> np.ndarray:
         at = (mix(features + np.uint64(0x51ED270B)) >> np.uint64(16)) % np.uint64(cells * self.parts)
@@ -197,13 +196,14 @@ def _merge(labels: np.ndarray, a: int, others: np.ndarray) -> np.ndarray:
     return others[at[apart]]
 
 
-def _subgroups(plan: PartEnum):
-    """(group, i, j, block, id, n, mark) in order of the unit to (subgroup, id): the members
-    of each unit that may be linked. A unit of two blocks compares across them only."""
+def _near(plan: PartEnum):
+    """(group, band, i, j, block, id, n, mark) in order of the unit to (a, b): enough pairs
+    to join the members of a unit that may be linked. A unit of two blocks compares across
+    them only."""
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        names, members = [], []
-        for (_, i, j), rows in _runs(batches, 3):
-            rows = list({r[1]: r for r in rows}.values())
+        found: list[tuple[int, int]] = []
+        for (_, _, i, j), rows in _runs(batches, 4):
+            ids = np.array([r[1] for r in rows])
             sides = np.array([r[0] for r in rows])
             sizes = np.array([r[2] for r in rows])
             marks = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
@@ -217,26 +217,20 @@ def _subgroups(plan: PartEnum):
                 at = np.flatnonzero(fits)
                 apart = np.count_nonzero(marks[a + 1 + at] != marks[a], axis=1)
                 most = (100 - plan.percent) * both[at] // (100 + plan.percent)
-                _merge(labels, a, a + 1 + at[apart <= most])
-            found: dict[int, list[int]] = {}
-            for label, r in zip(labels.tolist(), rows):
-                found.setdefault(label, []).append(r[1])
-            for ids in found.values():
-                if len(ids) > 1:
-                    ids.sort()
-                    name = xxhash.xxh3_128_digest(np.array(ids, np.int64).tobytes())
-                    names += [name] * len(ids)
-                    members += ids
-            if len(names) > 50_000:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.binary()), pa.array(members, pa.int64())], ["subgroup", "id"])
-                names, members = [], []
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array(members, pa.int64())], ["subgroup", "id"])
+                found += [(ids[a], ids[b]) for b in _merge(labels, a, a + 1 + at[apart <= most])]
+            if len(found) > 50_000:
+                yield _pairs(found)
+                found = []
+        yield _pairs(found)
 
     return run
 
 
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = np.array(found, np.int64).reshape(-1, 2).T
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
 DENSE_CELLS = 1 << 24  # sets x shared features up to which a matrix is multiplied
 
 
@@ -273,20 +267,29 @@ def linked_pairs(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np
 
 
 def _links(percent: int):
-    """(subgroup, id, set) in order of the subgroup to (a, b): links that join all linked sets."""
+    """(cluster, i, j, id, set) in order of the unit to (a, b): links that join all linked sets."""
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for _, rows in _runs(batches, 1):
+        for _, rows in _runs(batches, 3):
             ids = np.array([r[0] for r in rows])
             labels = np.arange(len(rows))
-            found = [(a, b) for a, others in linked_pairs([np.frombuffer(r[1], np.uint64) for r in rows], percent)
-                     for b in _merge(labels, a, others)]
-            if found:
-                a, b = np.array(found).T
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
+            yield _pairs([(ids[a], ids[b])
+                          for a, others in linked_pairs([np.frombuffer(r[1], np.uint64) for r in rows], percent)
+                          for b in _merge(labels, a, others)])
 
     return run
 
 
+def _units(rows: DataFrame, key: list[str], features: Column) -> DataFrame:
+    """`rows` in units of about BLOCK_FEATURES: one (i = j) for a small key; for a large one
+    its members are dealt to blocks by hash, and each pair of blocks is a unit."""
+    blocks = F.greatest(F.least(F.ceil(features / F.lit(BLOCK_FEATURES)), F.col("members")), F.lit(1)).cast("int")
+    return (rows.withColumn("blocks", blocks)
+            .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(*key, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "id"))
+
+
 def links(texts: DataFrame, classes: DataFrame, size: int, percent: int,
           plan: PartEnum | None = None) -> DataFrame:
     """(a, b): enough links between classes to join every two that are linked.
@@ -316,24 +319,24 @@ def links(texts: DataFrame, classes: DataFrame, size: int, percent: int,
               .groupBy("band", "members", "x", "y").agg(F.min("signature").alias("signature")))
     marks = sets.mapInArrow(_signed(plan, True), "id long, band int, n long, mark binary")
     tops = F.array(*[F.lit(b) for b in plan.bounds()])
-    blocks = F.ceil(F.col("members") * F.get(tops, F.col("band") + 1) / F.lit(BLOCK_FEATURES)).cast("int")
-    units = (met.join(groups.select("signature", "band"), ["signature", "band"])
-             .withColumn("blocks", F.least(blocks, F.col("members").cast("int")))
-             .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).cast("int"))
-             .select("signature", "band", "id", "block",
-                     F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("signature", "band", "id", "block",
-                     F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+    key = ["signature", "band"]
+    units = _units(met.join(groups.select(*key), key), key,
+                   F.col("members") * F.get(tops, F.col("band") + 1))
 
     # Step 4.
-    subgroups = (units.join(marks, ["id", "band"])
-                 .select("signature", "i", "j", "block", "id", "n", "mark")
-                 .repartition("signature", "i", "j").sortWithinPartitions("signature", "i", "j")
-                 .mapInArrow(_subgroups(plan), "subgroup binary, id long").distinct())
+    near = components(units.join(marks, ["id", "band"])
+                      .select(*key, "i", "j", "block", "id", "n", "mark")
+                      .repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j")
+                      .mapInArrow(_near(plan), "a long, b long"))
+
     # Step 5.
-    return (subgroups.join(sets.select("id", "set"), "id")
-            .select("subgroup", "id", "set")
-            .repartition("subgroup").sortWithinPartitions("subgroup")
+    clusters = stored(near.join(sets.select("id", "n"), near["node"] == sets["id"])
+                      .select(F.col("component").alias("cluster"), "id", "n"))
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("features"))
+    whole = _units(clusters.join(sizes, "cluster"), ["cluster"], F.col("features"))
+    return (whole.join(sets.select("id", "set"), "id")
+            .select("cluster", "i", "j", "id", "set")
+            .repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
             .mapInArrow(_links(percent), "a long, b long"))
 
 
