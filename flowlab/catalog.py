@@ -10,7 +10,6 @@ is a class that depends on the features in nine rows of ten, for the classifiers
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -58,9 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder on the cluster's shared storage; a local one in local tests."""
+    """A fresh folder on the cluster's shared storage."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="flowlab-")
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{shared}/{uuid.uuid4().hex}"
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,6 +204,23 @@ def describe(spark, sf_dir):
     return rounded(out, 4, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+@query("describe_infinite", f"""WITH {FLOWS}, x AS (SELECT *,
+    CASE WHEN l_linenumber <= 3 THEN price ELSE 'inf'::DOUBLE END AS up,
+    CASE WHEN l_linenumber <= 3 THEN price ELSE '-inf'::DOUBLE END AS down FROM flows)
+  SELECT 'up' AS feature, count(*) AS count, min(up) AS min, {r('quantile_cont(up, 0.25)', 4)} AS p25,
+    quantile_disc(up, 0.5) AS p50, quantile_disc(up, 0.75) AS p75, max(up) AS max FROM x UNION ALL
+  SELECT 'down', count(*), min(down), quantile_disc(down, 0.25), quantile_disc(down, 0.5),
+    {r('quantile_cont(down, 0.75)', 4)}, max(down) FROM x""")
+def describe_infinite(spark, sf_dir):
+    def ended(sign: str):
+        return F.when(F.col("l_linenumber") <= 3, F.col("price")).otherwise(F.lit(float(f"{sign}inf")))
+
+    table = flows(spark, sf_dir).select(ended("").alias("up"), ended("-").alias("down"))
+    out = E.describe(table, ["up", "down"]).drop("mean", "std")
+    return out.withColumns({c: F.when(F.abs(c) == float("inf"), F.col(c)).otherwise(F.round(c, 4))
+                            for c in ("p25", "p75")})
+
+
 @query("head", f"SELECT {KEYS}, l_quantity FROM lineitem ORDER BY {KEYS} LIMIT 5")
 def head(spark, sf_dir):
     return E.head(table(spark, sf_dir, "lineitem").select(*KEY, "l_quantity"), 5, KEY)
@@ -245,9 +263,32 @@ def correlation(spark, sf_dir):
     return rounded(E.correlation(flows(spark, sf_dir), FEATURES), 6, "r")
 
 
-@query("correlation_pairwise", f"WITH {FLOWS} {corr_sql(FEATURES[2:])}")
+@query("correlation_pairwise", f"WITH {FLOWS} {corr_sql(FEATURES)}")
 def correlation_pairwise(spark, sf_dir):
-    return rounded(E.correlation(flows(spark, sf_dir), FEATURES[2:], pairwise=True), 6, "r")
+    return rounded(E.correlation(flows(spark, sf_dir), FEATURES, pairwise=True), 6, "r")
+
+
+SPARSE = ["user_id", "value", "total", "half"]
+SPARSE_MERGED = f"""{MERGED}, flows AS (SELECT *,
+  CASE WHEN user_id % 2 = 0 THEN value + user_id / 100 END AS half FROM merged)"""
+
+
+def sparse(spark, sf_dir) -> DataFrame:
+    """Numeric columns of two sources, each null where the other one's rows are."""
+    half = F.when(F.col("user_id") % 2 == 0, F.col("value") + F.col("user_id") / 100)
+    return P.merge_sources(*sources(spark, sf_dir)).withColumn("half", half)
+
+
+@query("correlation_with_nulls", f"WITH {SPARSE_MERGED} " + corr_sql(SPARSE))
+def correlation_with_nulls(spark, sf_dir):
+    return rounded(E.correlation(sparse(spark, sf_dir), SPARSE, pairwise=True), 6, "r")
+
+
+@query("clean_with_nulls", f"WITH {SPARSE_MERGED} SELECT user_id, half, total, status FROM flows")
+def clean_with_nulls(spark, sf_dir):
+    # Of value and half, the first has the lower mean |r|.
+    table = sparse(spark, sf_dir).select(*SPARSE, "status")
+    return clean(table, "status", pairwise=True)[0]
 
 
 @query("lower_triangle", f"""WITH {FLOWS}, m AS ({corr_sql(FEATURES)})
@@ -319,6 +360,14 @@ def label_encode(spark, sf_dir):
     return P.label_encode(merged, ["event_type", "status"])
 
 
+@query("label_encode_numbers", """SELECT event_id,
+  dense_rank() OVER (ORDER BY user_id) - 1 AS user_id, dense_rank() OVER (ORDER BY value) - 1 AS value
+  FROM events""")
+def label_encode_numbers(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return P.label_encode(events, ["user_id", "value"])
+
+
 @query("one_hot", """SELECT o_orderkey,
   CAST(o_orderstatus = 'F' AS INTEGER) AS "o_orderstatus_F",
   CAST(o_orderstatus = 'O' AS INTEGER) AS "o_orderstatus_O",
@@ -347,7 +396,12 @@ def drop_columns(spark, sf_dir):
 SELECTABLE = ["quantity", "price", "discount", "tax", "revenue", "tiny", "constant"]
 
 
-@query("select_uncorrelated")
+@query("select_uncorrelated", f"""WITH {FLOWS}, m AS ({corr_sql(SELECTABLE, None)}),
+  s AS (SELECT feature_i AS f, pos_i AS at, avg(abs(r)) AS v FROM m GROUP BY ALL),
+  weaker AS (SELECT CASE WHEN b.v >= a.v THEN m.feature_i ELSE m.feature_j END AS f
+    FROM m JOIN s a ON a.f = m.feature_i JOIN s b ON b.f = m.feature_j
+    WHERE m.pos_i < m.pos_j AND abs(m.r) >= 0.9)
+  SELECT at AS position, f AS feature, f NOT IN (SELECT f FROM weaker) AS kept FROM s""")
 def select_uncorrelated(spark, sf_dir):
     return X.select_uncorrelated(flows(spark, sf_dir).select(*SELECTABLE, "label"), "label")[1]
 
@@ -380,6 +434,11 @@ def split_xy(spark, sf_dir):
     return P.split_xy(flows(spark, sf_dir).select(*FEATURES, "label"))[0]
 
 
+@query("split_xy_target", f"WITH {FLOWS} SELECT label FROM flows")
+def split_xy_target(spark, sf_dir):
+    return P.split_xy(flows(spark, sf_dir).select(*FEATURES, "label"))[1]
+
+
 @query("align_features", f"WITH {FLOWS} SELECT tax, quantity, price, label FROM flows")
 def align_features(spark, sf_dir):
     return P.align_features(flows(spark, sf_dir), ["tax", "quantity", "price"], ["label"])
@@ -480,6 +539,51 @@ def sample_n(spark, sf_dir):
     return M.sample_n(flows(spark, sf_dir).select(*KEY, "quantity", "label"), 10, KEY, SEED)
 
 
+# Rows of `events` share users and differ below the millisecond.
+EVENT_ORDER = f"""md5('{SEED}:' || user_id), md5('{SEED}:' || CAST(to_json(struct_pack(f0 := event_id,
+  f1 := user_id, f2 := epoch_us(ts), f3 := event_type, f4 := value, f5 := props)) AS VARCHAR))"""
+EVENT_COLUMNS = "event_id, user_id, epoch_us(ts) AS us, event_type, value, props"
+
+
+def _with_micros(df: DataFrame) -> DataFrame:
+    return df.withColumn("us", F.unix_micros("ts")).drop("ts")
+
+
+@query("stratified_sample_shared_key", f"""WITH p AS (SELECT *,
+    row_number() OVER (PARTITION BY event_type ORDER BY {EVENT_ORDER}) AS i,
+    count(*) OVER (PARTITION BY event_type) AS n FROM events)
+  SELECT {EVENT_COLUMNS} FROM p WHERE i <= round(0.12::DOUBLE * n)""")
+def stratified_sample_shared_key(spark, sf_dir):
+    return _with_micros(M.stratified_sample(
+        table(spark, sf_dir, "events"), "event_type", 0.12, ["user_id"], SEED))
+
+
+@query("sample_n_shared_key", f"SELECT {EVENT_COLUMNS} FROM events ORDER BY {EVENT_ORDER} LIMIT 1500")
+def sample_n_shared_key(spark, sf_dir):
+    return _with_micros(M.sample_n(table(spark, sf_dir, "events"), 1500, ["user_id"], SEED))
+
+
+@query("ensure_classes_shared_key", f"""WITH p AS (SELECT *,
+    row_number() OVER (PARTITION BY event_type ORDER BY {EVENT_ORDER}) AS i FROM events)
+  SELECT {EVENT_COLUMNS} FROM p WHERE event_type NOT IN ('error', 'click') OR i = 1""")
+def ensure_classes_shared_key(spark, sf_dir):
+    full = table(spark, sf_dir, "events")
+    part = full.where("event_type NOT IN ('error', 'click')")
+    return _with_micros(M.ensure_classes(part, full, "event_type", ["user_id"], SEED))
+
+
+PART_KEY = ["l_orderkey", "l_linenumber"]
+PART_ORDER = f"""md5('{SEED}:' || l_orderkey || ':' || l_linenumber), md5('{SEED}:' || CAST(to_json(struct_pack(
+  f0 := l_orderkey, f1 := l_partkey, f2 := l_suppkey, f3 := l_linenumber)) AS VARCHAR))"""
+
+
+@query("random_split_shared_key", f"""SELECT {KEYS},
+  row_number() OVER (ORDER BY {PART_ORDER}) <= round(0.2::DOUBLE * count(*) OVER ()) AS is_test
+  FROM lineitem""")
+def random_split_shared_key(spark, sf_dir):
+    return M.random_split(table(spark, sf_dir, "lineitem").select(*KEY), 0.2, PART_KEY, SEED)
+
+
 # ---------------------------------------------------------------- classifiers
 
 # Few rounds and trees keep the registered trainings short; the presets themselves are full.
@@ -565,6 +669,52 @@ def flow_class_report(spark, sf_dir):
     return _class_report(C.BAYES, spark, sf_dir)
 
 
+# All 64 values of an embedding as features of its 10 labels, in long form.
+WIDE = 64
+WIDE_SQL = f"""split AS (SELECT vec_id, label, embedding, row_number() OVER (PARTITION BY label
+      ORDER BY md5('{SEED}:' || vec_id)) <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY label)) AS is_test
+    FROM embeddings),
+  x AS (SELECT vec_id, label, is_test, j, embedding[j]::DOUBLE AS x FROM split, range(1, {WIDE + 1}) t(j)),
+  st AS (SELECT j, avg(x) AS m, stddev_pop(x) AS sd FROM x WHERE NOT is_test GROUP BY j),
+  z AS (SELECT vec_id, label, is_test, j, (x - m) / CASE WHEN sd = 0 THEN 1 ELSE sd END AS x FROM x JOIN st USING (j)),
+  eps AS (SELECT 1e-5 * max(v) AS eps FROM (SELECT var_pop(x) AS v FROM z WHERE NOT is_test GROUP BY j)),
+  fit AS (SELECT label AS c, j, avg(x) AS mu, var_pop(x) + eps AS va FROM z, eps WHERE NOT is_test GROUP BY label, j, eps),
+  prior AS (SELECT label AS c, ln(count(*) / sum(count(*)) OVER ()) AS p FROM split WHERE NOT is_test GROUP BY label),
+  scored AS (SELECT vec_id, z.label, prior.c, p - 0.5 * sum(ln(2 * pi() * va) + (x - mu) * (x - mu) / va) AS s
+    FROM z JOIN fit USING (j) JOIN prior ON prior.c = fit.c WHERE is_test GROUP BY vec_id, z.label, prior.c, p)"""
+
+
+def _wide(spark, sf_dir) -> tuple[DataFrame, DataFrame, list[str]]:
+    names = [f"v{j}" for j in range(WIDE)]
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", *[F.col("embedding")[j].cast("double").alias(n) for j, n in enumerate(names)])
+    split = M.stratified_split(rows, "label", 0.2, ["vec_id"], SEED)
+    return split.where("NOT is_test").drop("is_test"), split.where("is_test").drop("is_test"), names
+
+
+@query("naive_bayes_wide", f"""WITH {WIDE_SQL} SELECT vec_id, label,
+  CAST(max_by(c, s) AS BIGINT) AS prediction FROM scored GROUP BY vec_id, label""")
+def naive_bayes_wide(spark, sf_dir):
+    train, test, names = _wide(spark, sf_dir)
+    model = C.fit_model(C.BAYES, train, names, "label")
+    return S.predict_attacks(test, {C.BAYES.key: model}).select(
+        "vec_id", "label", F.col("naive_bayes_prediction").alias("prediction"))
+
+
+@query("attack_roc_auc", f"""WITH {WIDE_SQL},
+  m AS (SELECT *, exp(s - max(s) OVER (PARTITION BY vec_id)) AS e FROM scored),
+  a AS (SELECT vec_id, label <> 0 AS attack, 1 - sum(e) FILTER (c = 0) / sum(e) AS score FROM m GROUP BY vec_id, label),
+  g AS (SELECT round(score, 9) AS score, count(*) FILTER (attack) AS p, count(*) FILTER (NOT attack) AS q FROM a GROUP BY 1),
+  k AS (SELECT p, q, sum(p) OVER (ORDER BY score DESC) AS tp, sum(p) OVER () AS allp, sum(q) OVER () AS allq FROM g)
+  SELECT {r('sum(q * (tp - p / 2) / (allp * allq))')} AS auc FROM k""")
+def attack_roc_auc(spark, sf_dir):
+    """Area under the ROC of a trained model's attack probability, class 0 being benign."""
+    train, test, names = _wide(spark, sf_dir)
+    model = C.fit_model(C.BAYES, train, names, "label")
+    scored = rounded(S.attack_scores(test, C.BAYES.key, model), 9, "naive_bayes_attack")
+    return rounded(V.roc_auc(scored, "naive_bayes_attack", F.col("label") != 0), 6, "auc")
+
+
 @query("early_stopping")
 def early_stopping(spark, sf_dir):
     train, _ = banded(spark, sf_dir)
@@ -585,7 +735,7 @@ def preset_fallback(spark, sf_dir):
     # A subsampling rate above 1 is refused, so the alternate settings take over.
     broken = C.BOOSTING_REGULARISED.with_params(rows=1.5)
     spare = C.BOOSTING_REGULARISED_FALLBACK.with_params(rounds=2, depth=3)
-    used, model = C.fit_with_fallback(
+    used, model, _ = C.fit_with_fallback(
         [broken, spare], lambda p: C.fit_model(p, train, MODEL_FEATURES, "band"))
     counts = V.confusion_counts(model.transform(test), "band", f"{used.key}_prediction")
     return V.summary(counts).withColumn("model", F.lit(used.title))
@@ -682,7 +832,7 @@ def overfitting_gap(spark, sf_dir):
 
 
 @query("gap_verdict", f"""WITH {FLOWS}, g AS (SELECT label, avg(tax) AS gap FROM flows
-    WHERE l_linenumber > 3 GROUP BY label UNION ALL
+    GROUP BY label UNION ALL
     SELECT label, avg(discount) FROM flows GROUP BY label UNION ALL
     SELECT label, max(discount) FROM flows GROUP BY label UNION ALL
     SELECT label, -max(tax) FROM flows GROUP BY label)
@@ -691,18 +841,54 @@ def overfitting_gap(spark, sf_dir):
       WHEN gap < 0.10 THEN 'mild overfitting' ELSE 'overfitting' END AS verdict FROM g""")
 def gap_verdict(spark, sf_dir):
     f = flows(spark, sf_dir)
-    tax = f.where("l_linenumber > 3").groupBy("label").agg(F.avg("tax").alias("gap"))
-    rest = f.groupBy("label").agg(
-        F.array(F.avg("discount"), F.max("discount"), -F.max("tax")).alias("g")
+    gaps = f.groupBy("label").agg(
+        F.array(F.avg("tax"), F.avg("discount"), F.max("discount"), -F.max("tax")).alias("g")
     ).select("label", F.explode("g").alias("gap"))
-    out = tax.unionByName(rest).withColumn("verdict", V.gap_verdict(F.col("gap")))
+    out = gaps.withColumn("verdict", V.gap_verdict(F.col("gap")))
     return rounded(out, 6, "gap")
 
 
-@query("cross_validate")
+def _fold_bayes_sql(i: int) -> str:
+    """Naive Bayes trained without fold i and its predictions of that fold."""
+    z = {c: f"(x.{c} - m_{c}) / (CASE WHEN sd_{c} = 0 THEN 1 ELSE sd_{c} END)" for c in MODEL_FEATURES}
+    terms = " + ".join(
+        f"ln(2 * pi() * (va_{c} + eps)) + (z.{c} - mu_{c}) * (z.{c} - mu_{c}) / (va_{c} + eps)"
+        for c in MODEL_FEATURES)
+    return f"""st{i} AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS sd_{c}' for c in MODEL_FEATURES)}
+        FROM folded WHERE fold <> {i}),
+      z{i} AS (SELECT {', '.join('x.' + k for k in KEY)}, x.band, x.fold,
+        {', '.join(f'{z[c]} AS {c}' for c in MODEL_FEATURES)} FROM folded x, st{i}),
+      fit{i} AS (SELECT band AS c, count(*) AS n,
+        {', '.join(f'avg({c}) AS mu_{c}, var_pop({c}) AS va_{c}' for c in MODEL_FEATURES)}
+        FROM z{i} WHERE fold <> {i} GROUP BY band),
+      eps{i} AS (SELECT 1e-5 * greatest({', '.join(f'var_pop({c})' for c in MODEL_FEATURES)}) AS eps,
+        count(*) AS total FROM z{i} WHERE fold <> {i}),
+      best{i} AS (SELECT z.band, f.c AS prediction, row_number() OVER (PARTITION BY
+          {', '.join('z.' + k for k in KEY)} ORDER BY ln(n / total) - 0.5 * ({terms}) DESC, f.c) AS i
+        FROM z{i} z, fit{i} f, eps{i} WHERE z.fold = {i})"""
+
+
+def _fold_f1_sql(i: int) -> str:
+    head = f"WITH c AS (SELECT band AS label, prediction, count(*) AS n FROM best{i} WHERE i = 1 GROUP BY ALL)"
+    f1 = report_sql(head, "SELECT sum(f1 * support) / sum(support) AS f1_weighted FROM report")
+    return f"SELECT {i} AS fold, f1_weighted FROM ({f1})"
+
+
+FOLDS_F1 = f"""{FLOWS}, {BAND_SPLIT}, ranked AS (SELECT *,
+    row_number() OVER (PARTITION BY band ORDER BY {order_sql()}) AS i,
+    count(*) OVER (PARTITION BY band) AS n, count(*) OVER () AS total FROM split WHERE NOT is_test),
+  folded AS (SELECT {KEYS}, band, {', '.join(MODEL_FEATURES)},
+    ntile(3) OVER (PARTITION BY band ORDER BY {order_sql(SEED + 1)}) - 1 AS fold
+    FROM ranked WHERE i <= greatest(3, floor(30000 * n / total))),
+  {', '.join(_fold_bayes_sql(i) for i in range(3))},
+  folds AS ({' UNION ALL '.join(_fold_f1_sql(i) for i in range(3))})"""
+
+
+@query("cross_validate", f"WITH {FOLDS_F1} SELECT CAST(fold AS INTEGER) AS fold, {r('f1_weighted')} AS f1_weighted FROM folds")
 def cross_validate(spark, sf_dir):
     train, _ = banded(spark, sf_dir)
-    return T.cross_validate(C.BAYES, train, MODEL_FEATURES, "band", 3, key_cols=KEY)
+    out = T.cross_validate(C.BAYES, train, MODEL_FEATURES, "band", 3, key_cols=KEY)
+    return rounded(out, 6, "f1_weighted")
 
 
 @query("cv_summary", f"""WITH {FLOWS}, folds AS (SELECT l_linenumber AS fold, avg(tax) AS f1_weighted
@@ -714,11 +900,11 @@ def cv_summary(spark, sf_dir):
     return rounded(T.cv_summary(folds), 6, "mean", "std")
 
 
-@query("timing")
+@query("timing", f"""WITH {FLOWS} SELECT 'confusion_counts' AS action, count(*) AS rows, true AS timed FROM flows""")
 def timing(spark, sf_dir):
     counts, seconds = T.timed(lambda: pseudo_counts(spark, sf_dir).collect())
-    return local_rows(spark, [("confusion_counts", sum(r["n"] for r in counts), seconds)],
-                      "action string, rows bigint, seconds double")
+    return local_rows(spark, [("confusion_counts", sum(r["n"] for r in counts), seconds > 0)],
+                      "action string, rows bigint, timed boolean")
 
 
 def evaluations(spark, sf_dir, presets, k: int = 0) -> list[T.Evaluation]:
@@ -731,9 +917,25 @@ def evaluations(spark, sf_dir, presets, k: int = 0) -> list[T.Evaluation]:
     return out
 
 
-@query("evaluate_model")
+def _side_sql(test: bool) -> str:
+    side = "z.is_test" if test else "NOT z.is_test"
+    head = f"""WITH {_bayes_sql('band').replace('WHERE z.is_test)', f'WHERE {side})')},
+      c AS (SELECT band AS label, prediction, count(*) AS n FROM best WHERE i = 1 GROUP BY ALL)"""
+    return report_sql(head, """SELECT sum(correct) / sum(support) AS accuracy,
+      sum(f1 * support) / sum(support) AS f1_weighted, avg(f1) AS f1_macro FROM report""")
+
+
+@query("evaluate_model", f"""WITH tr AS ({_side_sql(False)}), te AS ({_side_sql(True)}),
+  cv AS (SELECT avg(f1_weighted) AS mean, stddev_pop(f1_weighted) AS std FROM (WITH {FOLDS_F1} SELECT * FROM folds))
+  SELECT 'Naive Bayes' AS model, {r('tr.accuracy')} AS train_accuracy, {r('te.accuracy')} AS test_accuracy,
+    {r('tr.f1_weighted')} AS train_f1_weighted, {r('te.f1_weighted')} AS test_f1_weighted,
+    {r('te.f1_macro')} AS test_f1_macro, {r('mean')} AS cv_f1_weighted, {r('std')} AS cv_f1_std,
+    {r('tr.accuracy - te.accuracy')} AS gap, true AS timed FROM tr, te, cv""")
 def evaluate_model(spark, sf_dir):
-    return T.results_table(spark, evaluations(spark, sf_dir, [C.BAYES], k=3))
+    out = T.results_table(spark, evaluations(spark, sf_dir, [C.BAYES], k=3))
+    seconds = ("train_seconds", "inference_seconds")
+    timed = out.withColumn("timed", (F.col(seconds[0]) > 0) & (F.col(seconds[1]) > 0)).drop(*seconds)
+    return rounded(timed, 6, *[f for f in T.FIGURES if f not in seconds])
 
 
 @query("train_and_compare")
@@ -820,6 +1022,16 @@ def score_flow(spark, sf_dir):
     return score(test, models, [*KEY, "band"])
 
 
+@query("bayes_save_load", f"""WITH {_bayes_sql('band')}
+  SELECT {KEYS}, band, prediction FROM best WHERE i = 1""")
+def bayes_save_load(spark, sf_dir):
+    train, test = banded(spark, sf_dir)
+    folder = scratch(spark)
+    model_store.save_models({C.BAYES.key: C.fit_model(C.BAYES, train, MODEL_FEATURES, "band")}, folder)
+    return S.predict_attacks(test, model_store.load_models([C.BAYES.key], folder)).select(
+        *KEY, "band", F.col("naive_bayes_prediction").alias("prediction"))
+
+
 @query("model_save_load")
 def model_save_load(spark, sf_dir):
     models, test = _fitted(spark, sf_dir)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Numeric strings accepted by coercion, as in pandas' to_numeric.
 NUMERIC_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?)\s*$"
@@ -34,10 +34,34 @@ def key_hash(key_cols: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 
-def row_hash(columns: Sequence[str], seed: int) -> Column:
+def _exact(c: Column, kind: T.DataType) -> Column:
+    """The value in a form that JSON holds without loss, whatever the time zone."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return c.cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _exact(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_exact(c.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.MapType):
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        return F.transform(F.map_entries(c), lambda x: _exact(x, entry))
+    return c
+
+
+def row_text(df: DataFrame) -> Column:
+    """The whole row as text: equal for equal rows only, on every run and in any time zone."""
+    fields = [_exact(col(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(df.schema.fields)]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def row_hash(df: DataFrame, seed: int) -> Column:
     """Like key_hash, over the content of the whole row."""
-    body = F.to_json(F.struct(*[col(c) for c in columns]))
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), body))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), row_text(df)))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -8,8 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Rows up to which a result is held on the driver and broadcast.
-MAX_LOCAL_ROWS = 100_000
+# Rows and bytes up to which a result is held on the driver and broadcast.
+MAX_LOCAL_ROWS = 20_000
+MAX_LOCAL_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -27,27 +28,26 @@ class Settled:
         return max(values, default=None)
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Point the context at the shared checkpoint folder the cluster names."""
+def use_checkpoints(spark: SparkSession) -> bool:
+    """Point the context at the shared checkpoint folder, if the cluster names one."""
     context = spark.sparkContext
     if context.getCheckpointDir():
-        return
+        return True
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(folder)
+    if folder:
+        context.setCheckpointDir(folder)
+    return bool(folder)
 
 
 def settle(df: DataFrame, max_rows: int | None = None) -> Settled:
-    """Run `df` once. Up to `max_rows` rows come back as a broadcast local table;
-    a bigger result is checkpointed and left to be joined by a shuffle, where
-    adaptive execution splits hot keys."""
+    """Up to `max_rows` rows and MAX_LOCAL_BYTES come back as a broadcast local table; a
+    bigger result is left to be joined by a shuffle, where adaptive execution splits hot
+    keys. It is checkpointed if the cluster names a folder for that, else computed again."""
     max_rows = MAX_LOCAL_ROWS if max_rows is None else max_rows
     table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows <= max_rows:
+    if table.num_rows <= max_rows and table.nbytes <= MAX_LOCAL_BYTES:
         return Settled(F.broadcast(df.sparkSession.createDataFrame(table)), table)
-    use_checkpoints(df.sparkSession)
-    return Settled(df.checkpoint(), None)
+    return Settled(df.checkpoint() if use_checkpoints(df.sparkSession) else df, None)
 
 
 def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

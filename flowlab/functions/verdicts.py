@@ -22,8 +22,8 @@ def vote(votes: Sequence[Column]) -> Column:
         same = [F.coalesce((v == other).cast("int"), F.lit(0)) for other in votes]
         return sum(same[1:], same[0])
 
-    ballots = [F.struct(support(v).alias("n"), (-v).alias("v")) for v in votes]
-    return -(F.greatest(*ballots) if len(ballots) > 1 else ballots[0])["v"]
+    ballots = [F.struct((-support(v)).alias("n"), v.alias("v")) for v in votes]
+    return (F.least(*ballots) if len(ballots) > 1 else ballots[0])["v"]
 
 
 def top_probability(p: Column, is_vector: bool = False) -> Column:

@@ -18,11 +18,6 @@ from pyspark.sql import DataFrame, functions as F
 # Fixed value: share of the largest feature variance added to every variance.
 SMOOTHING = 1e-5
 
-# Up to this many (class, feature) terms the scores are plain column expressions; beyond,
-# generated code gets slower than NumPy over Arrow batches.
-NATIVE_TERMS = 256
-
-
 class GaussianBayes(
     Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol,
     DefaultParamsReadable, DefaultParamsWritable,
@@ -83,28 +78,6 @@ class GaussianBayesModel(
             for p in (self.classes, self.priors, self.means, self.variances))
         return label, prior - 0.5 * np.log(2.0 * np.pi * var).sum(axis=1), mean, 0.5 / var
 
-    def _native(self, dataset: DataFrame) -> DataFrame:
-        label, offset, mean, precision = self._parts()
-
-        def joint(k: int) -> str:
-            terms = [
-                f" - (_x[{j}] - ({m}D)) * (_x[{j}] - ({m}D)) * {w}D"
-                for j, (m, w) in enumerate(zip(mean[k].tolist(), precision[k].tolist()))
-            ]
-            return f"({offset[k].item()}D)" + "".join(terms)
-
-        scored = dataset.withColumn("_x", vector_to_array(F.col(self.getFeaturesCol())))
-        scored = scored.withColumn(
-            "_s", F.expr(f"array({', '.join(joint(k) for k in range(len(label)))})"))
-        scored = scored.withColumn("_m", F.array_max("_s"))
-        scored = scored.withColumn("_e", F.transform("_s", lambda v: F.exp(v - F.col("_m"))))
-        total = F.aggregate("_e", F.lit(0.0), lambda a, v: a + v)
-        at = F.array_position("_s", F.col("_m")).cast("int")  # the smallest class on a tie
-        return scored.withColumn("_bayes", F.struct(
-            F.element_at(F.lit(label.tolist()), at).alias("prediction"),
-            F.transform("_e", lambda v: v / total).alias("probability"),
-        )).drop("_x", "_s", "_m", "_e")
-
     def _batched(self, dataset: DataFrame) -> DataFrame:
         label, offset, mean, precision = self._parts()
 
@@ -124,10 +97,7 @@ class GaussianBayesModel(
             "_bayes", score(vector_to_array(F.col(self.getFeaturesCol()))))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        means = self.getOrDefault(self.means)
-        native = sum(len(m) for m in means) <= NATIVE_TERMS
-        scored = self._native(dataset) if native else self._batched(dataset)
-        return scored.withColumns({
+        return self._batched(dataset).withColumns({
             self.getPredictionCol(): F.col("_bayes.prediction"),
             self.getProbabilityCol(): array_to_vector(F.col("_bayes.probability")),
         }).drop("_bayes")

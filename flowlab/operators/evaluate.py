@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowlab.functions.columns import col, ratio
 from flowlab.functions.verdicts import MILD, gap_verdict
 
-# Score ranges for running sums: about this many rows each, and at most so many ranges.
-ROWS_PER_BUCKET = 100_000
-MAX_BUCKETS = 10_000
+# Score ranges for running sums: about this many rows each.
+ROWS_PER_BUCKET = 1_000_000
 # Sampled rows per range when the ends of the ranges are chosen.
 SAMPLE_PER_BUCKET = 200
 
@@ -140,7 +139,7 @@ def _score_splits(df: DataFrame, score: str, buckets: int | None) -> list[float]
     """Ends of ranges with about equally many rows, from a sample: they only balance
     the work, so the result does not depend on them."""
     rows = df.count()
-    buckets = buckets or max(2, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
+    buckets = buckets or max(2, rows // ROWS_PER_BUCKET)
     share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1))
     probs = [i / buckets for i in range(1, buckets)]
     s = col(score).cast("double")
@@ -160,7 +159,7 @@ def roc(df: DataFrame, score: str, positive: Column, buckets: int | None = None)
     splits = _score_splits(df, score, buckets)
     ranged = Bucketizer(splits=splits, inputCol="threshold", outputCol="_b").transform(groups)
     higher = Window.partitionBy(F.lit(1)).orderBy(F.desc("_b")).rowsBetween(
-        Window.unboundedPreceding, -1)  # one row per range, MAX_BUCKETS at most
+        Window.unboundedPreceding, -1)  # one row per range, a millionth of the rows
     whole = Window.partitionBy(F.lit(1))
     totals = ranged.groupBy("_b").agg(F.sum("_p").alias("_bp"), F.sum("_q").alias("_bq"))
     shift = totals.select(
@@ -193,19 +192,23 @@ def threshold_sweep(
     df: DataFrame, score: str, positive: Column, thresholds: Sequence[float],
 ) -> DataFrame:
     """Precision, recall and F1 when rows at or above each threshold are flagged."""
-    s = col(score).cast("double")
-    usable = df.where(s.isNotNull() & ~F.isnan(s))
-    y = F.coalesce(positive, F.lit(False))
-    counts = usable.agg(
-        F.count_if(y).alias("all"),
-        *[F.count_if(s >= t).alias(f"n{i}") for i, t in enumerate(thresholds)],
-        *[F.count_if((s >= t) & y).alias(f"p{i}") for i, t in enumerate(thresholds)],
-    )
-    points = F.array(*[
-        F.struct(F.lit(float(t)).alias("threshold"), F.col(f"n{i}").alias("flagged"),
-                 F.col(f"p{i}").alias("tp")) for i, t in enumerate(thresholds)])
-    return counts.select("all", F.inline(points)).select(
-        "threshold", "flagged", "tp",
+    ends = sorted({float(t) for t in thresholds})
+    groups = df.select(col(score).cast("double").alias("s"), F.coalesce(positive, F.lit(False)).alias("y")) \
+        .where(F.col("s").isNotNull() & ~F.isnan("s"))
+    # Each score goes once to the range between two thresholds; sums from the top follow.
+    splits = [float("-inf"), *ends, float("inf")]
+    counted = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(groups).groupBy("b").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("y").alias("p"))
+    known = counted.union(df.sparkSession.range(len(splits) - 1).select(
+        F.col("id").cast("double"), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))).groupBy("b").agg(
+        F.sum("n").alias("n"), F.sum("p").alias("p"))
+    down = Window.partitionBy(F.lit(1)).orderBy(F.desc("b"))  # one row per threshold
+    whole = Window.partitionBy(F.lit(1))
+    names = F.array(*[F.lit(t) for t in ends])
+    return known.select(
+        "b", F.sum("n").over(down).alias("flagged"), F.sum("p").over(down).alias("tp"),
+        F.sum("p").over(whole).alias("all")).where("b > 0").select(
+        F.get(names, F.col("b").cast("int") - 1).alias("threshold"), "flagged", "tp",
         ratio(F.col("tp"), F.col("flagged")).alias("precision"),
         ratio(F.col("tp"), F.col("all")).alias("recall"),
         ratio(2 * F.col("tp"), F.col("flagged") + F.col("all")).alias("f1"),

@@ -7,15 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlab.functions.columns import NUMERIC_TEXT, col, missing, number
-from flowlab.functions.small import local_rows, settle, use_checkpoints
+from flowlab.functions.small import settle
 from flowlab.operators.profile import numeric_columns
 from flowlab.operators.quantiles import exact_quantiles
 
-# Indicator columns up to which one_hot widens the table.
-MAX_INDICATORS = 2_000
+# First characters of a category that are ranked on their own.
+HEAD = 4
 
 
 def merge_sources(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -55,34 +55,35 @@ def fill_median(
 
 
 def categories(df: DataFrame, columns: Sequence[str], null_value: str | None = "unknown") -> DataFrame:
-    """(column, category, code) with codes 0..k-1 in sorted order per column."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), _category(c, null_value).alias("category"))
-        for c in columns
-    ])
+    """(column, category, code) with codes 0..k-1 per column, in the order of the column's
+    own type: numbers by value, texts by code point. A missing value counts as the text
+    `null_value`: sorted among texts, after all values of other types."""
+    kinds = dict(df.dtypes)
+    parts = []
+    for c in columns:
+        value = _category(c, null_value)
+        # The order's text is followed by its number: texts have none, numbers no text.
+        is_text = kinds[c] == "string"
+        text = value if is_text else F.when(col(c).isNull(), value)
+        size = F.lit(None).cast("double") if is_text else _size_of(c, kinds[c])
+        parts.append(F.struct(F.lit(c).alias("column"), value.alias("category"),
+                              text.alias("_text"), size.alias("_size")))
     found = (
-        df.select(F.inline(pairs)).where("category is not null")
-        .groupBy("column", "category").agg(F.count(F.lit(1)).alias("n")).drop("n")
+        df.select(F.inline(F.array(*parts))).where("category is not null")
+        .groupBy("column", "category", "_text", "_size").agg(F.count(F.lit(1)).alias("n")).drop("n")
     )
-    known = settle(found)
-    spark = df.sparkSession
-    if known.table is not None:
-        rows = sorted(zip(*(known.table[c].to_pylist() for c in ("column", "category"))))
-        seen: dict[str, int] = {}
-        coded = []
-        for column, category in rows:
-            seen[column] = seen.get(column, -1) + 1
-            coded.append((column, category, seen[column]))
-        return F.broadcast(local_rows(spark, coded, "column string, category string, code bigint"))
-    # More categories than the driver takes: number the sorted rows where they are.
-    ordered = known.df.orderBy("column", "category").rdd.zipWithIndex().map(
-        lambda pair: (pair[0][0], pair[0][1], pair[1]))
-    numbered = spark.createDataFrame(ordered, "column string, category string, at bigint")
-    use_checkpoints(spark)
-    numbered = numbered.checkpoint()
-    starts = settle(numbered.groupBy("column").agg(F.min("at").alias("start"))).df
-    return numbered.join(starts, "column").select(
-        "column", "category", (F.col("at") - F.col("start")).alias("code"))
+    # Ranked within the first characters or the same exponent, and these within the column.
+    head = F.struct(F.substr("_text", F.lit(1), F.lit(HEAD)).alias("t"),
+                    F.floor(F.signum("_size") * F.log2(1 + F.abs("_size"))).alias("s"))
+    headed = found.withColumn("_head", head)
+    heads = headed.groupBy("column", "_head").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("column").orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
+    starts = heads.select("column", "_head", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("column", "_head").orderBy("_text", "_size", "category")
+    return headed.withColumn("_i", F.row_number().over(inside)).join(
+        starts.withColumnsRenamed({"column": "_c2", "_head": "_h2"}),
+        (F.col("column") == F.col("_c2")) & F.col("_head").eqNullSafe(F.col("_h2")),
+    ).select("column", "category", (F.col("_start") + F.col("_i") - 1).alias("code"))
 
 
 def _category(c: str, null_value: str | None):
@@ -90,12 +91,23 @@ def _category(c: str, null_value: str | None):
     return text if null_value is None else F.coalesce(text, F.lit(null_value))
 
 
+def _size_of(c: str, kind: str):
+    """A number in the order of the column's values."""
+    if kind == "boolean":
+        return col(c).cast("int").cast("double")
+    if kind == "date":
+        return F.unix_date(col(c)).cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(col(c)).cast("double")
+    return col(c).cast("double")
+
+
 def label_encode(
     df: DataFrame, columns: Sequence[str], null_value: str | None = "unknown",
     codes: DataFrame | None = None,
 ) -> DataFrame:
     """Categories to 0..k-1 in sorted order; a missing one counts as `null_value`."""
-    codes = categories(df, columns, null_value) if codes is None else codes
+    codes = settle(categories(df, columns, null_value)).df if codes is None else codes
     out = df
     for i, c in enumerate(columns):
         of_column = codes.where(F.col("column") == c).select(
@@ -110,11 +122,9 @@ def label_encode(
 def one_hot(
     df: DataFrame, columns: Sequence[str], null_value: str | None = "unknown",
 ) -> DataFrame:
-    """A 0/1 column `<column>_<category>` per category, in place of the column."""
-    codes = categories(df, columns, null_value)
-    rows = codes.orderBy("column", "code").limit(MAX_INDICATORS + 1).collect()
-    if len(rows) > MAX_INDICATORS:
-        raise ValueError("too many categories for single columns; use one_hot_vector")
+    """A 0/1 column `<column>_<category>` per category, in place of the column. For more
+    categories than a table should have columns, see `one_hot_vector`."""
+    rows = categories(df, columns, null_value).orderBy("column", "code").collect()  # a column each
     kept = [col(c) for c in df.columns if c not in columns]
     flags = [
         F.coalesce((_category(r["column"], null_value) == r["category"]).cast("int"), F.lit(0))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
@@ -92,7 +93,8 @@ def describe(
 
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
-    return df.orderBy(*[col(c) for c in order_by]).limit(n)
+    """The first n rows in order of the given columns, or of all."""
+    return df.orderBy(*[col(c) for c in order_by or df.columns]).limit(n)
 
 
 def class_distribution(df: DataFrame, label: str = "label", top: int | None = None) -> DataFrame:
@@ -151,20 +153,37 @@ def _complete(df: DataFrame, columns: list[str]) -> dict:
 
 
 def _pairwise(df: DataFrame, columns: list[str], types: dict) -> dict:
-    xs = [number(c, types[c]) for c in columns]
-    pairs = [(i, j) for i in range(len(xs)) for j in range(i, len(xs))]
+    """Masked sums of products of all pairs, in one pass about the columns' means."""
+    p = len(columns)
+    xs = [number(c, types[c]).alias(f"x{i}") for i, c in enumerate(columns)]
+    values = df.select(*xs)
+    centre = [m or 0.0 for m in values.agg(*[F.avg(c).alias(c) for c in values.columns]).head()]
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            held = ~np.isnan(x)
+            x, held = np.where(held, x - centre, 0.0), held.astype(float)
+            total += [held.T @ held, x.T @ held, (x * x).T @ held, x.T @ x]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(total.size)), pa.array(total.ravel())], ["at", "v"])
+
+    total = np.zeros(4 * p * p)
+    for at, v in values.mapInArrow(sums, "at long, v double").groupBy("at").agg(F.sum("v")).collect():
+        total[at] = v  # 4 * p * p values
+    n, s, ss, cross = total.reshape(4, p, p)
     r: dict = {}
-    for at in range(0, len(pairs), COLUMNS_PER_PASS):
-        part = pairs[at:at + COLUMNS_PER_PASS]
-        exprs = []
-        for i, j in part:
-            both = xs[i].isNotNull() & xs[j].isNotNull()
-            a, b = F.when(both, xs[i]), F.when(both, xs[j])
-            exprs.append(F.try_divide(
-                F.covar_samp(a, b), F.sqrt(F.var_samp(a)) * F.sqrt(F.var_samp(b))))
-        row = df.agg(*[e.alias(f"r{n}") for n, e in enumerate(exprs)]).head()
-        for (i, j), v in zip(part, row):
-            r[i, j] = r[j, i] = v
+    for i in range(p):
+        for j in range(p):
+            if n[i, j] < 2:
+                r[i, j] = None
+                continue
+            # s[i, j]: sum of column i over the rows that also have j.
+            spread = [ss[a, b] - s[a, b] ** 2 / n[i, j] for a, b in ((i, j), (j, i))]
+            flat = any(v <= 1e-12 * ss[a, b] for v, (a, b) in zip(spread, ((i, j), (j, i))))
+            r[i, j] = None if flat else float(
+                (cross[i, j] - s[i, j] * s[j, i] / n[i, j]) / np.sqrt(spread[0] * spread[1]))
     return r
 
 

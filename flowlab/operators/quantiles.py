@@ -1,10 +1,11 @@
 """Exact quantiles in bounded memory.
 
-The built-in exact percentile keeps every distinct value of a column in one task, so it
-is used for small tables only. Otherwise a bounded sample brackets each wanted quantile,
-a pass over all rows counts those below and inside the bracket, and only the values
-inside are grouped and ranked. A bracket that still holds many rows is narrowed by
-another sample; one that missed its rank is widened. The sample never decides a result.
+The built-in exact percentile keeps every distinct value of a column in one task. Here a
+bounded sample brackets each wanted quantile, a pass over all rows counts those below and
+inside the bracket, and only the values inside are grouped and ranked. A bracket that
+still holds many rows is narrowed by another sample; one that missed its rank goes back
+to the last one and is sampled anew; one that a sample can't narrow is cut into equal
+ranges of values. The samples never decide a result.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.columns import number
 
-# Tables up to this size are ranked directly.
-DIRECT_ROWS = 200_000
 # Rows taken for a bracket: a thousandth of those inside it, within these limits.
 SAMPLE_ROWS = (50_000, 2_000_000)
 SKETCH_ACCURACY = 10_000
@@ -26,6 +25,9 @@ SKETCH_ACCURACY = 10_000
 SIGMAS = 5.0
 # Rows inside a bracket up to which its values are grouped and ranked.
 BRACKET_ROWS = 500_000
+# Ranges of values into which a bracket is cut that samples can't narrow.
+CUTS = 1_000
+MOST = 1.7e308
 # Result columns of one aggregation; more of them make the generated code too big.
 WIDTH = 200
 
@@ -38,7 +40,7 @@ class _Target:
     high: float
     inside: int
     before: int = 0
-    widened: bool = False
+    stuck: bool = False
 
     @property
     def ranks(self) -> tuple[int, int]:
@@ -52,15 +54,17 @@ def _run(df: DataFrame, exprs: list[Column]) -> list:
     return out
 
 
-def _narrow(df: DataFrame, targets: list[_Target], xs: dict[str, Column], sample_rows) -> None:
+def _narrow(df: DataFrame, targets: list[_Target], xs: dict[str, Column], sample_rows, draw: int) -> None:
     """Shrink the brackets by a sample of the values inside; equal brackets share one."""
+    if not targets:
+        return
     fewest, most = sample_rows
     shared: dict[tuple, list[_Target]] = {}
     for t in targets:
         shared.setdefault((t.column, t.low, t.high, t.inside), []).append(t)
     sizes = {b: min(b[3], max(fewest, min(most, b[3] // 1000))) for b in shared}
     shares = {b: sizes[b] / b[3] for b in shared}
-    drawn = df.withColumn("_draw", F.rand(17)).where(F.col("_draw") < max(shares.values()))
+    drawn = df.withColumn("_draw", F.rand(draw)).where(F.col("_draw") < max(shares.values()))
     exprs, spans = [], []
     for b, group in shared.items():
         column, low, high, inside = b
@@ -85,7 +89,7 @@ def _narrow(df: DataFrame, targets: list[_Target], xs: dict[str, Column], sample
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     known: dict[str, tuple] | None = None,
-    direct_rows: int = DIRECT_ROWS, sample_rows: tuple[int, int] = SAMPLE_ROWS,
+    sample_rows: tuple[int, int] = SAMPLE_ROWS,
     bracket_rows: int = BRACKET_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, nulls and NaN skipped.
@@ -97,18 +101,19 @@ def exact_quantiles(
     if known is None:
         row = _run(df, [e for c in columns for e in (F.count(xs[c]), F.min(xs[c]), F.max(xs[c]))])
         known = {c: tuple(row[3 * i:3 * i + 3]) for i, c in enumerate(columns)}
-    if max((known[c][0] for c in columns), default=0) <= direct_rows:
-        row = _run(df, [F.percentile(xs[c], list(probs)) for c in columns])
-        return {c: row[i] or [None] * len(probs) for i, c in enumerate(columns)}
-
     targets = [
         _Target(c, p * (known[c][0] - 1), known[c][1], known[c][2], known[c][0])
         for c in columns if known[c][0] for p in probs
     ]
-    moving = list(targets)
+    moving = [t for t in targets if t.inside > bracket_rows and t.low < t.high]
+    draw = 16
     while moving:
         spans = [(t.low, t.high) for t in moving]
-        _narrow(df, moving, xs, sample_rows)
+        draw += 1
+        _narrow(df, [t for t in moving if not t.stuck], xs, sample_rows, draw)
+        for t in moving:
+            if t.stuck:
+                _cut(df, t, xs[t.column])
         exprs = []
         for t in moving:
             x = xs[t.column]
@@ -121,13 +126,12 @@ def exact_quantiles(
             if not (before < first and last <= before + inside):
                 # The sample missed: back to the last bracket, whose counts are known.
                 t.low, t.high = span
-                if t.widened:
-                    continue
-                t.widened = True
                 again.append(t)
                 continue
             t.before, t.inside = before, inside
-            if t.low < t.high and inside > bracket_rows and (t.low, t.high) != span:
+            # Equal ranges of values narrow where samples can't, until one range is left.
+            if t.low < t.high and inside > bracket_rows and not (t.stuck and (t.low, t.high) == span):
+                t.stuck = (t.low, t.high) == span
                 again.append(t)
         moving = again
 
@@ -136,10 +140,28 @@ def exact_quantiles(
         c: [] if known[c][0] else [None] * len(probs) for c in columns}
     for i, t in enumerate(targets):
         low, high = values[i]
-        out[t.column].append(low + (high - low) * (t.position - math.floor(t.position)))
+        share = t.position - math.floor(t.position)
+        # Infinite neighbours count with their share only, so equal ones give themselves.
+        out[t.column].append(low if low == high or not share else low * (1 - share) + high * share
+                             if math.isinf(low) or math.isinf(high) else low + (high - low) * share)
     return out
 
 
+def _cut(df: DataFrame, t: _Target, x: Column) -> None:
+    """Narrow a bracket to those of `CUTS` equal ranges of values that hold its ranks."""
+    low, high = max(t.low, -MOST), min(t.high, MOST)
+    width = high / CUTS - low / CUTS
+    at = F.least(F.greatest(F.floor(x / F.lit(width) - F.lit(low / width)), F.lit(-1)), F.lit(CUTS))
+    rows = (df.where((x >= t.low) & (x <= t.high)).groupBy(at.alias("at"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).collect())
+    before, found = t.before, []
+    for row in sorted(rows, key=lambda r: r["at"]):
+        if before < t.ranks[1] and before + row["n"] >= t.ranks[0]:
+            found.append(row)
+        before += row["n"]
+    t.low, t.high = found[0]["lo"], found[-1]["hi"]
+
+
 def _order_statistics(df, targets, xs) -> dict[int, tuple[float, float]]:
     """The values at each target's two ranks."""
     found = {i: (t.low, t.low) for i, t in enumerate(targets) if t.low == t.high}

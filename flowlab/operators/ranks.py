@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowlab.functions.columns import col, key_hash, row_hash
+from flowlab.functions.columns import col, key_hash, row_hash, row_text
 from flowlab.functions.small import Settled, settle
 
 # Hash digits looked at per pass: 32 from the key, then 32 from the whole row.
@@ -126,12 +126,12 @@ def rank_segments(
     row are numbered, so every segment has exactly its size.
     """
     columns = df.columns
-    h = key_hash(key_cols, seed) if key_cols else row_hash(columns, seed)
+    h = key_hash(key_cols, seed) if key_cols else row_hash(df, seed)
     c = col(label) if label else F.lit(0)
     rows = df.select(c.alias("_c"), h.alias("_h"))
     found = _thresholds(rows, cuts, 32, resolve_rows)
     if found.peak("_partial") and key_cols:
-        h = F.concat(h, row_hash(columns, seed))
+        h = F.concat(h, row_hash(df, seed))
         rows = df.select(c.alias("_c"), h.alias("_h"))
         found = _thresholds(rows, cuts, 64, resolve_rows)
 
@@ -152,14 +152,16 @@ def rank_segments(
         return keyed.select(*plain, segment.alias(out))
 
     # Copies of one row on both sides of a cut: count them, then write them out again
-    # with their ranks, at most COPIES_PER_TASK from one input row.
+    # with their ranks, at most COPIES_PER_TASK from one input row. They are grouped by the
+    # row's whole content, so that no hash decides what a copy is.
     is_split = F.array_contains("_split", F.col("_h"))
     whole = keyed.where(~is_split).select(*plain, segment.alias(out))
     bounds = found.df.where("_partial = 1").groupBy(
         F.col("_c").alias("_bc"), F.col("_t").alias("_bh")).agg(F.max("_before").alias("_start"))
     copies = (
         keyed.where(is_split)
-        .groupBy("_fc", "_h")
+        .withColumn("_content", row_text(df))
+        .groupBy("_fc", "_h", "_content")
         .agg(F.count(F.lit(1)).alias("_m"), F.first(F.struct(*plain)).alias("_row"),
              *[F.first(f"_r{j}").alias(f"_r{j}") for j in range(len(cuts))])
         .join(settle(bounds).df,

@@ -10,22 +10,17 @@ from flowlab.functions.columns import col, key_hash, row_hash
 from flowlab.functions.small import settle
 from flowlab.operators.ranks import rank_segments
 
-# Up to this many rows a keyed top-n is taken directly: every task sends its own top n.
-TOP_ROWS = 1_000
 
-
-def _order(df: DataFrame, key_cols: Sequence[str] | None, seed: int) -> Column:
-    return key_hash(key_cols, seed) if key_cols else row_hash(df.columns, seed)
+def _order(df: DataFrame, key_cols: Sequence[str] | None, seed: int) -> list[Column]:
+    """Keyed order of the rows; rows that share a key follow their content."""
+    content = row_hash(df, seed)
+    return [key_hash(key_cols, seed), content] if key_cols else [content]
 
 
 def sample_n(
     df: DataFrame, n: int, key_cols: Sequence[str] | None = None, seed: int = 42,
-    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
     """n random rows, the same ones on every run."""
-    if n <= top_rows:
-        order = [_order(df, key_cols, seed), *[col(k) for k in key_cols or []]]
-        return df.orderBy(*order).limit(n)
     part = rank_segments(df, [lambda size: F.lit(n)], None, key_cols, seed, "_segment")
     return part.where("_segment = 0").drop("_segment")
 
@@ -91,8 +86,7 @@ def per_class_sample(
     classes = df.select(col(label)).distinct().count()
     each = max(1, n // max(classes, 1))
     part = rank_segments(df, [lambda size: F.lit(each)], label, key_cols, seed, "_segment")
-    # The input has at most n rows here (or one per class), so its top n is cheap.
-    return sample_n(part.where("_segment = 0").drop("_segment"), n, key_cols, seed + 1, top_rows=n)
+    return sample_n(part.where("_segment = 0").drop("_segment"), n, key_cols, seed + 1)
 
 
 def cv_subsample(
@@ -120,8 +114,7 @@ def cv_subsample(
     tiny = known.df.where(F.col("_n") < min_rows)
     if known.df.agg(F.min("_n")).head()[0] < min_rows:
         # Fewer than min_rows rows per class here, so this window is small by definition.
-        order = [_order(df, key_cols, seed), row_hash(df.columns, seed)]
-        rank = F.row_number().over(Window.partitionBy("_c").orderBy(*order))
+        rank = F.row_number().over(Window.partitionBy("_c").orderBy(*_order(df, key_cols, seed)))
         again = F.floor((F.lit(min_rows) - F.col("_i")) / F.col("_n"))
         extra = (
             sample.join(tiny, col(label).eqNullSafe(F.col("_c")))
@@ -134,7 +127,7 @@ def cv_subsample(
     planned = known.df.agg(F.sum(quota(F.col("_n")))).head()[0]
     if planned <= n:
         return sample
-    cut = sample_n(sample, n, key_cols, seed + 1, top_rows=n)
+    cut = sample_n(sample, n, key_cols, seed + 1)
     left = cut.groupBy(col(label)).count().agg(F.count(F.lit(1)), F.min("count")).head()
     return cut if left[0] == classes and left[1] >= min_rows else sample
 
@@ -156,7 +149,7 @@ def ensure_classes(
     first = (
         full.join(absent.df, col(label).eqNullSafe(F.col("_c")), "left_semi")
         .groupBy(col(label).alias("_c"))
-        .agg(F.min_by(F.struct(*[col(c) for c in columns]), _order(full, key_cols, seed)).alias("_row"))
+        .agg(F.min_by(F.struct(*[col(c) for c in columns]), F.struct(*_order(full, key_cols, seed))).alias("_row"))
     )
     return part.unionByName(
         first.select(*[F.col("_row").getField(c).alias(c) for c in columns])

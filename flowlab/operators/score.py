@@ -35,6 +35,22 @@ def predict_attacks(df: DataFrame, models: dict[str, PipelineModel]) -> DataFram
     return out
 
 
+def attack_probability(df: DataFrame, key: str, benign: int = 0) -> Column:
+    """1 less a model's probability of the benign class: the score of a ROC over attacks."""
+    if f"{key}_probability" in df.columns:
+        shares = vector_to_array(F.col(f"{key}_probability"))
+    else:
+        shares = one_vs_rest_probability(vector_to_array(F.col(f"{key}_raw")))
+    return F.lit(1.0) - F.get(shares, F.lit(benign))
+
+
+def attack_scores(df: DataFrame, key: str, model: PipelineModel, benign: int = 0) -> DataFrame:
+    """Adds `<key>_attack`, the probability that a row is of another class than `benign`."""
+    scored = model.transform(df)
+    return scored.select(*[col(c) for c in df.columns],
+                         attack_probability(scored, key, benign).alias(f"{key}_attack"))
+
+
 def majority_vote(df: DataFrame, predictions: Sequence[str], out: str = "vote") -> DataFrame:
     """Adds the most frequent of the predictions, the smallest class on a tie."""
     return df.withColumn(out, vote([col(p) for p in predictions]))

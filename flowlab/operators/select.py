@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import takewhile
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,6 +12,7 @@ from flowlab.functions.small import local_rows
 from flowlab.operators.prepare import drop_columns
 from flowlab.operators.profile import COLUMNS_PER_PASS, correlation, mean_abs_correlation
 
+# Fixed values: |r| of a redundant pair, and the variance below which a column is flat.
 THRESHOLD = 0.90
 MIN_VARIANCE = 1e-5
 
@@ -36,19 +38,16 @@ def redundant_features(
     for a in columns:
         known = [abs(r[a, b]) for b in columns if r[a, b] is not None]
         strength[a] = sum(known) / len(known) if known else float("nan")
-    gone: set[str] = set()
-    for at, current in enumerate(columns):
-        for earlier in columns[:at]:
-            if earlier in gone or r[earlier, current] is None:
-                continue
-            if abs(r[earlier, current]) < threshold:
-                continue
-            if strength[current] >= strength[earlier]:
-                gone.add(earlier)
-            else:
-                gone.add(current)
-                break
-    return [c for c in columns if c in gone]
+    standing: list[str] = []
+    for current in columns:
+        # The earlier ones that stand and are redundant with this one, up to the first that
+        # is stronger: this one drops those before it, and falls to that one if there is one.
+        rivals = [e for e in standing if r[e, current] is not None and abs(r[e, current]) >= threshold]
+        weaker = list(takewhile(lambda e: strength[current] >= strength[e], rivals))
+        standing = [e for e in standing if e not in weaker]
+        if len(weaker) == len(rivals):
+            standing.append(current)
+    return [c for c in columns if c not in standing]
 
 
 def low_variance_features(

@@ -14,9 +14,10 @@ from flowlab.operators.select import (
 
 def clean(
     df: DataFrame, label: str = "label", exclude: Sequence[str] = (),
-    threshold: float = THRESHOLD, minimum: float = MIN_VARIANCE,
+    threshold: float = THRESHOLD, minimum: float = MIN_VARIANCE, pairwise: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Leave out named columns, redundant features, then near-constant ones."""
-    kept, report = select_uncorrelated(drop_columns(df, exclude), label, threshold)
+    """Leave out named columns, redundant features, then near-constant ones. `pairwise`
+    takes tables with missing values: each pair is compared where both are known."""
+    kept, report = select_uncorrelated(drop_columns(df, exclude), label, threshold, pairwise)
     flat = low_variance_features(kept, [c for c in kept.columns if c != label], minimum)
     return drop_columns(kept, flat), report

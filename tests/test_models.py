@@ -3,7 +3,6 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from flowlab.operators import bayes
 from flowlab.operators import classifiers as C
 from flowlab.operators import evaluate as V
 from flowlab.operators import sampling as M
@@ -46,9 +45,7 @@ def test_every_model_beats_the_largest_class(data, fitted):
         assert scored[f"{key}_confidence"].between(1 / 3 - 1e-9, 1).all(), key
 
 
-@pytest.mark.parametrize("terms", [256, 0])
-def test_bayes_equals_the_formula(data, fitted, monkeypatch, terms):
-    monkeypatch.setattr(bayes, "NATIVE_TERMS", terms)
+def test_bayes_equals_the_formula(data, fitted):
     train, test = (d.toPandas() for d in data)
     m, s = train[FEATURES].mean(), train[FEATURES].std(ddof=0).replace(0, 1)
     a, b = ((d[FEATURES] - m) / s for d in (train, test))
@@ -108,8 +105,9 @@ def test_importance_finds_the_useful_features(spark, fitted):
 
 def test_fallback_takes_the_next_preset(data):
     broken = C.BOOSTING_REGULARISED.with_params(rows=2.0)
-    used, model = C.fit_with_fallback([broken, BRIEF[3]], lambda p: C.fit_model(p, data[0], FEATURES))
+    used, model, errors = C.fit_with_fallback([broken, BRIEF[3]], lambda p: C.fit_model(p, data[0], FEATURES))
     assert used == BRIEF[3] and isinstance(model, PipelineModel)
+    assert len(errors) == 1 and "subsamplingRate" in errors[0]
     with pytest.raises(Exception):
         C.fit_with_fallback([broken], lambda p: C.fit_model(p, data[0], FEATURES))
 

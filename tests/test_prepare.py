@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowlab.functions import small
 from flowlab.operators import prepare as P
@@ -127,3 +128,21 @@ def test_low_variance(spark):
     df = spark.createDataFrame([(1.0, 5.0, 0.001, 1), (2.0, 5.0, 0.002, 2)],
                                "wide double, flat double, thin double, label int")
     assert X.drop_low_variance(df).columns == ["wide", "label"]
+
+
+@pytest.mark.parametrize("limit", [20_000, 2])
+def test_codes_follow_the_values_own_order(spark, monkeypatch, limit):
+    monkeypatch.setattr(small, "MAX_LOCAL_ROWS", limit)
+    numbers = [10, 2, -3, None, 100, 0, -40, 2, 9_000_000_000, 9_000_000_001]
+    df = spark.createDataFrame([(n, None if n is None else n / 4, n is not None and n > 5) for n in numbers],
+                               "n long, x double, b boolean")
+    got = {tuple(r) for r in P.label_encode(df.withColumn("o", F.col("n")), ["n", "x", "b"]).select("o", "n", "x", "b").collect()}
+    order = {v: i for i, v in enumerate(sorted({n for n in numbers if n is not None}))}
+    order[None] = len(order)
+    assert got == {(n, order[n], order[n], int(n is not None and n > 5)) for n in numbers}
+
+
+def test_many_indicators(spark):
+    df = spark.range(300).selectExpr("id", "concat('c', id) AS c")
+    wide = P.one_hot(df, ["c"])
+    assert len(wide.columns) == 301 and wide.where("c_c7 = 1").head()["id"] == 7

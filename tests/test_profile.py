@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ def mixed(spark):
     return spark.createDataFrame(rows, schema).repartition(6).cache(), heavy, hot, few, holes
 
 
-@pytest.mark.parametrize("limits", [dict(), dict(direct_rows=100, sample_rows=(300, 400), bracket_rows=50)])
+@pytest.mark.parametrize("limits", [dict(), dict(sample_rows=(300, 400), bracket_rows=50), dict(sample_rows=(2, 2), bracket_rows=5)])
 def test_quantiles_are_exact(mixed, limits):
     df, heavy, hot, few, holes = mixed
     got = exact_quantiles(df, df.columns, PROBS, **limits)
@@ -36,7 +37,7 @@ def test_quantiles_are_exact(mixed, limits):
 def test_a_bad_sample_does_not_change_the_result(mixed):
     # Two sampled rows bracket nothing: the brackets fall back to the whole column.
     df, heavy, *_ = mixed
-    got = exact_quantiles(df, ["heavy"], [0.3], direct_rows=10, sample_rows=(2, 2), bracket_rows=1)
+    got = exact_quantiles(df, ["heavy"], [0.3], sample_rows=(2, 2), bracket_rows=1)
     assert got["heavy"][0] == pytest.approx(np.quantile(heavy, 0.3))
 
 
@@ -90,3 +91,41 @@ def test_histogram_of_a_flat_feature(spark):
     assert {(r["label"], r["bin"], r["n"]) for r in E.feature_histogram(df, "x").collect()} == {
         ("a", 0, 1), ("b", 0, 1)}
     assert E.feature_histogram(df.where("x is null"), "x").count() == 0
+
+
+@pytest.mark.parametrize("limits", [dict(), dict(sample_rows=(50, 60), bracket_rows=20)])
+def test_quantiles_with_infinities(spark, limits):
+    values = [float(i) for i in range(400)] + [math.inf] * 700
+    df = spark.createDataFrame([(v, -v) for v in values], "up double, down double").repartition(3)
+    got = exact_quantiles(df, ["up", "down"], [0.25, 0.5, 0.75], **limits)
+    assert got["up"] == [pytest.approx(274.75), math.inf, math.inf]
+    assert got["down"] == [-math.inf, -math.inf, pytest.approx(-274.75)]
+
+
+def test_quantile_of_values_that_samples_cant_narrow(spark):
+    # Two values hold nearly all rows, at the rank itself and far apart.
+    values = [1.0] * 500 + [1e300] * 500 + [float(i) for i in range(2, 40)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = exact_quantiles(df, ["x"], [0.2, 0.49, 0.9], sample_rows=(20, 30), bracket_rows=10)["x"]
+    assert got == pytest.approx(np.quantile(values, [0.2, 0.49, 0.9]).tolist())
+
+
+def test_head_orders_by_all_columns_by_default(spark):
+    df = spark.createDataFrame([(2, "a"), (1, "b"), (1, "a")], "n int, t string").repartition(3)
+    assert [tuple(r) for r in E.head(df, 2).collect()] == [(1, "a"), (1, "b")]
+
+
+def test_pairwise_correlation_equals_pandas(spark):
+    rng = np.random.default_rng(8)
+    frame = pd.DataFrame(rng.normal(1e6, 1, (300, 4)), columns=list("abcd"))
+    frame["b"] += 0.7 * frame["a"]
+    frame["flat"] = 5.0
+    frame = frame.mask(rng.random(frame.shape) < 0.3)
+    frame["none"] = np.nan
+    df = spark.createDataFrame(frame).repartition(4)
+    got = {(r["feature_i"], r["feature_j"]): r["r"] for r in E.correlation(df, pairwise=True).collect()}
+    want = frame.corr()
+    for a in "abcd":
+        for b in "abcd":
+            assert got[a, b] == pytest.approx(want.loc[a, b], abs=1e-8)
+    assert got["a", "flat"] is None and got["flat", "flat"] is None and got["a", "none"] is None

@@ -128,8 +128,8 @@ def test_ensure_classes_adds_one_row_each(rows):
 def test_sample_n_large_and_small(rows):
     df, data = rows
     order = sorted((i for i, _ in data), key=lambda i: md5(42, i))
-    assert [r["id"] for r in M.sample_n(df, 7, ["id"]).collect()] == order[:7]
-    assert {r["id"] for r in M.sample_n(df, 300, ["id"], top_rows=10).collect()} == set(order[:300])
+    assert {r["id"] for r in M.sample_n(df, 7, ["id"]).collect()} == set(order[:7])
+    assert {r["id"] for r in M.sample_n(df, 300, ["id"]).collect()} == set(order[:300])
 
 
 def test_empty_table(rows):
@@ -153,3 +153,39 @@ def test_rows_are_not_shuffled_or_sorted(spark, rows, tmp_path):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan
         assert not any(x in plan for x in ("Exchange hash", "Exchange range", "Exchange Single", "Window", "Sort"))
+
+
+def test_rows_that_share_a_key_differ_below_the_millisecond(spark):
+    # Ten rows of one key, microseconds apart, in three partitionings: none may be merged,
+    # and the same ones are picked each time.
+    rows = [(1, i, f"2024-01-01 00:00:00.{i:06d}") for i in range(10)] + [(2, 99, "2024-01-01 00:00:01")]
+    df = spark.createDataFrame(rows, "k long, id long, t string").selectExpr("k", "id", "to_timestamp(t) AS ts")
+    picked = set()
+    for parts in (1, 3, 7):
+        dealt = df.repartition(parts)
+        out = M.random_split(dealt, 0.4, ["k"]).collect()
+        assert sorted(r["id"] for r in out) == sorted(r[1] for r in rows)
+        added = M.ensure_classes(dealt.where("k = 2"), dealt, "k", ["k"]).where("k = 1").collect()
+        assert len(added) == 1
+        picked.add((tuple(sorted(r["id"] for r in out if r["is_test"])), added[0]["id"],
+                    tuple(sorted(r["id"] for r in M.sample_n(dealt, 3, ["k"]).collect()))))
+    assert len(picked) == 1
+
+
+def test_content_is_told_apart_whatever_its_type(spark):
+    from flowlab.functions.columns import row_text
+
+    df = spark.sql("""SELECT * FROM VALUES
+      (array(timestamp_micros(1)), map('a', 1), named_struct('x', CAST(NULL AS INT)), CAST('a' AS BINARY), 1),
+      (array(timestamp_micros(2)), map('a', 1), named_struct('x', CAST(NULL AS INT)), CAST('a' AS BINARY), 1),
+      (array(timestamp_micros(1)), map('a', 2), named_struct('x', CAST(NULL AS INT)), CAST('a' AS BINARY), 1),
+      (array(timestamp_micros(1)), map('a', 1), NULL, CAST('a' AS BINARY), 1),
+      (array(timestamp_micros(1)), map('a', 1), named_struct('x', 0), CAST('b' AS BINARY), 1),
+      (NULL, map('a', 1), named_struct('x', CAST(NULL AS INT)), CAST('a' AS BINARY), 1) AS t(a, m, s, b, n)""")
+    texts = [r[0] for r in df.select(row_text(df)).collect()]
+    assert len(set(texts)) == 6
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert [r[0] for r in df.select(row_text(df)).collect()] == texts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
