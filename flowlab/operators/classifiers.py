@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
@@ -17,13 +18,16 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from flowlab.functions.columns import col
-from flowlab.functions.small import local_rows
+from flowlab.functions.small import local_rows, use_checkpoints
 from flowlab.operators.bayes import GaussianBayes
 from flowlab.operators.prepare import class_weights
 from flowlab.operators.sampling import stratified_split
 
 WEIGHT = "class_weight"
 PARALLELISM = 8
+# Rows of a training task, at least: trees and rounds take many short jobs, whose cost is
+# the number of their tasks where a table is small.
+ROWS_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -127,21 +131,27 @@ def fit_model(
     seed: int = 42, parallelism: int = PARALLELISM,
 ) -> PipelineModel:
     """Train one classifier on labels 0..k-1."""
-    rows = train.count() if preset.family in ("logistic", "boosting") else 0
-    training = _training(preset, train, features, label)
+    rows = train.count()
+    training = _training(preset, train, features, label).coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+    if preset.family == "boosting":
+        use_checkpoints(train.sparkSession)  # cuts the lineage of many rounds
     return pipeline(preset, features, label, rows, seed, parallelism).fit(training)
 
 
 def fit_with_fallback(
     presets: Sequence[Preset], fit: Callable[[Preset], object],
-) -> tuple[Preset, object]:
-    """The first of the presets that trains; the last one's error is raised."""
+) -> tuple[Preset, object, list[str]]:
+    """The first of the presets that trains, what it gave, and the errors of those before
+    it; the last one's error is raised."""
+    errors: list[str] = []
     for at, preset in enumerate(presets):
         try:
-            return preset, fit(preset)
-        except Exception:
+            return preset, fit(preset), errors
+        except Exception as error:
             if at == len(presets) - 1:
                 raise
+            errors.append(f"{preset.title}: {type(error).__name__}: {error}")
+            logging.getLogger(__name__).warning("%s", errors[-1])
     raise ValueError("no preset given")
 
 
