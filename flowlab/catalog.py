@@ -28,6 +28,7 @@ from flowlab.operators import select as X
 from flowlab.plans import train as T
 from flowlab.plans.clean import clean
 from flowlab.plans.scoring import score
+from flowlab.plans.training import train_and_report
 from flowlab.sources import models as model_store
 from flowlab.sources import reports, tables
 
@@ -397,11 +398,11 @@ SELECTABLE = ["quantity", "price", "discount", "tax", "revenue", "tiny", "consta
 
 
 @query("select_uncorrelated", f"""WITH {FLOWS}, m AS ({corr_sql(SELECTABLE, None)}),
-  s AS (SELECT feature_i AS f, pos_i AS at, avg(abs(r)) AS v FROM m GROUP BY ALL),
+  s AS (SELECT feature_i AS f, pos_i, avg(abs(r)) AS v FROM m GROUP BY ALL),
   weaker AS (SELECT CASE WHEN b.v >= a.v THEN m.feature_i ELSE m.feature_j END AS f
     FROM m JOIN s a ON a.f = m.feature_i JOIN s b ON b.f = m.feature_j
     WHERE m.pos_i < m.pos_j AND abs(m.r) >= 0.9)
-  SELECT at AS position, f AS feature, f NOT IN (SELECT f FROM weaker) AS kept FROM s""")
+  SELECT pos_i AS position, f AS feature, f NOT IN (SELECT f FROM weaker) AS kept FROM s""")
 def select_uncorrelated(spark, sf_dir):
     return X.select_uncorrelated(flows(spark, sf_dir).select(*SELECTABLE, "label"), "label")[1]
 
@@ -540,13 +541,19 @@ def sample_n(spark, sf_dir):
 
 
 # Rows of `events` share users and differ below the millisecond.
-EVENT_ORDER = f"""md5('{SEED}:' || user_id), md5('{SEED}:' || CAST(to_json(struct_pack(f0 := event_id,
-  f1 := user_id, f2 := epoch_us(ts), f3 := event_type, f4 := value, f5 := props)) AS VARCHAR))"""
+EVENT_ORDER = rf"""md5('{SEED}:' || user_id), md5('{SEED}:' || CAST(to_json(struct_pack(f0 := event_id,
+  f1 := user_id, f2 := regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '\.?0+$', ''),
+  f3 := event_type, f4 := value, f5 := props)) AS VARCHAR))"""
 EVENT_COLUMNS = "event_id, user_id, epoch_us(ts) AS us, event_type, value, props"
 
 
+def _events(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value", "props")
+
+
 def _with_micros(df: DataFrame) -> DataFrame:
-    return df.withColumn("us", F.unix_micros("ts")).drop("ts")
+    start = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    return df.withColumn("us", F.expr(f"timestampdiff(MICROSECOND, {start}, ts)")).drop("ts")
 
 
 @query("stratified_sample_shared_key", f"""WITH p AS (SELECT *,
@@ -555,19 +562,19 @@ def _with_micros(df: DataFrame) -> DataFrame:
   SELECT {EVENT_COLUMNS} FROM p WHERE i <= round(0.12::DOUBLE * n)""")
 def stratified_sample_shared_key(spark, sf_dir):
     return _with_micros(M.stratified_sample(
-        table(spark, sf_dir, "events"), "event_type", 0.12, ["user_id"], SEED))
+        _events(spark, sf_dir), "event_type", 0.12, ["user_id"], SEED))
 
 
 @query("sample_n_shared_key", f"SELECT {EVENT_COLUMNS} FROM events ORDER BY {EVENT_ORDER} LIMIT 1500")
 def sample_n_shared_key(spark, sf_dir):
-    return _with_micros(M.sample_n(table(spark, sf_dir, "events"), 1500, ["user_id"], SEED))
+    return _with_micros(M.sample_n(_events(spark, sf_dir), 1500, ["user_id"], SEED))
 
 
 @query("ensure_classes_shared_key", f"""WITH p AS (SELECT *,
     row_number() OVER (PARTITION BY event_type ORDER BY {EVENT_ORDER}) AS i FROM events)
   SELECT {EVENT_COLUMNS} FROM p WHERE event_type NOT IN ('error', 'click') OR i = 1""")
 def ensure_classes_shared_key(spark, sf_dir):
-    full = table(spark, sf_dir, "events")
+    full = _events(spark, sf_dir)
     part = full.where("event_type NOT IN ('error', 'click')")
     return _with_micros(M.ensure_classes(part, full, "event_type", ["user_id"], SEED))
 
@@ -940,7 +947,18 @@ def evaluate_model(spark, sf_dir):
 
 @query("train_and_compare")
 def train_and_compare(spark, sf_dir):
-    return V.compare(T.results_table(spark, evaluations(spark, sf_dir, C.PRESETS)))
+    return V.compare(T.results_table(spark, evaluations(spark, sf_dir, C.PRESETS, k=3)))
+
+
+@query("training_run")
+def training_run(spark, sf_dir):
+    """The whole run: sample, split, five models with cross-validation, saved models, all
+    report tables, and the comparison as it was written."""
+    folder = scratch(spark)
+    rows = flows(spark, sf_dir).select(*KEY, *MODEL_FEATURES, "band")
+    train_and_report(rows, "band", MODEL_FEATURES, folder, KEY,
+                     [BRIEF[p.key] for p in C.PRESETS], fraction=0.5, seed=SEED)
+    return reports.read_report(spark, f"{folder}/reports", "comparison")
 
 
 RESULTS = f"""WITH {FLOWS}, results AS (SELECT label AS model,
@@ -1016,6 +1034,26 @@ def predict_attacks(spark, sf_dir):
     return S.predict_attacks(test, models)
 
 
+@query("model_checks", f"""WITH {FLOWS}, {BAND_SPLIT}
+  SELECT model, count(*) AS rows, true AS classes_known, true AS shares_fit, true AS beats_largest_class
+  FROM split, (SELECT unnest([{', '.join(f"'{p.key}'" for p in C.PRESETS)}]) AS model) WHERE is_test GROUP BY model""")
+def model_checks(spark, sf_dir):
+    """What holds for any trained model: every row scored with a known class and a fitting
+    confidence, and more rows right than by always naming the largest class."""
+    models, test = _fitted(spark, sf_dir)
+    scored = S.predict_attacks(test, models)
+    classes = test.groupBy("band").count()
+    k, largest = classes.agg(F.count(F.lit(1)), F.max("count")).head()
+    shapes = [F.struct(
+        F.lit(key).alias("model"), F.col(f"{key}_prediction").alias("p"), F.col(f"{key}_confidence").alias("c"))
+        for key in models]
+    return scored.select("band", F.inline(F.array(*shapes))).groupBy("model").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bool_and(F.col("p").between(0, k - 1)).alias("classes_known"),
+        F.bool_and(F.col("c").between(1 / k - 1e-9, 1 + 1e-9)).alias("shares_fit"),
+        (F.count_if(F.col("p") == F.col("band")) > largest).alias("beats_largest_class"))
+
+
 @query("score_flow")
 def score_flow(spark, sf_dir):
     models, test = _fitted(spark, sf_dir)
