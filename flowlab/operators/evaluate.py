@@ -191,7 +191,8 @@ def roc_auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
 def threshold_sweep(
     df: DataFrame, score: str, positive: Column, thresholds: Sequence[float],
 ) -> DataFrame:
-    """Precision, recall and F1 when rows at or above each threshold are flagged."""
+    """Precision, recall and F1 when rows at or above each threshold are flagged, in order
+    of the thresholds."""
     ends = sorted({float(t) for t in thresholds})
     groups = df.select(col(score).cast("double").alias("s"), F.coalesce(positive, F.lit(False)).alias("y")) \
         .where(F.col("s").isNotNull() & ~F.isnan("s"))
@@ -207,7 +208,7 @@ def threshold_sweep(
     names = F.array(*[F.lit(t) for t in ends])
     return known.select(
         "b", F.sum("n").over(down).alias("flagged"), F.sum("p").over(down).alias("tp"),
-        F.sum("p").over(whole).alias("all")).where("b > 0").select(
+        F.sum("p").over(whole).alias("all")).where("b > 0").orderBy("b").select(
         F.get(names, F.col("b").cast("int") - 1).alias("threshold"), "flagged", "tp",
         ratio(F.col("tp"), F.col("flagged")).alias("precision"),
         ratio(F.col("tp"), F.col("all")).alias("recall"),
