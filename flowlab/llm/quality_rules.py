@@ -109,9 +109,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
     left = F.col("n_words") - F.when(F.col("lines").isNull(), F.lit(0)).otherwise(removed)
     return (judged.withColumn("base_failed", failed).withColumn("n_kept_words", left)
-            .withColumn("kept", ~F.col("base_failed")
-                        & (F.col("n_kept_words") >= MIN_WORDS)
-                        & (100 * F.col("n_kept_words") >= MIN_KEPT_PCT * F.col("n_words")))
+            # One expression over both sides of the join: a filter on it stays above the join,
+            # where the statistics are columns, instead of repeating their expressions.
+            .withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(
+                (F.col("n_kept_words") >= MIN_WORDS)
+                & (100 * F.col("n_kept_words") >= MIN_KEPT_PCT * F.col("n_words"))))
             .select("row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     "n_repeat_words", "n_kept_words", "base_failed", "kept"))
 
