@@ -25,9 +25,9 @@ from flowlab.operators.sampling import stratified_split
 
 WEIGHT = "class_weight"
 PARALLELISM = 8
-# Rows of a training task, at least: trees and rounds take many short jobs, whose cost is
-# the number of their tasks where a table is small.
-ROWS_PER_TASK = 100_000
+# Rows of a boosting task, at least: classes train side by side, each by many short jobs,
+# whose cost is the number of their tasks where a table is small.
+ROWS_PER_TASK = 250_000
 
 
 @dataclass(frozen=True)
@@ -131,9 +131,10 @@ def fit_model(
     seed: int = 42, parallelism: int = PARALLELISM,
 ) -> PipelineModel:
     """Train one classifier on labels 0..k-1."""
-    rows = train.count()
-    training = _training(preset, train, features, label).coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+    rows = train.count() if preset.family in ("logistic", "boosting") else 0
+    training = _training(preset, train, features, label)
     if preset.family == "boosting":
+        training = training.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
         use_checkpoints(train.sparkSession)  # cuts the lineage of many rounds
     return pipeline(preset, features, label, rows, seed, parallelism).fit(training)
 
