@@ -305,7 +305,8 @@ def links(texts: DataFrame, classes: DataFrame, size: int, percent: int,
            .where("id = last").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
     able = stored(classes.join(own, "id", "left").where(
         100 * F.coalesce("own", F.lit(0)) <= (100 - percent) * F.col("n")).select("id").distinct())
-    sets = stored(texts.join(able, "id").select("id", "text")
+    # Joined by a shuffle at every size, as the ids of a large corpus need it.
+    sets = stored(texts.join(able.hint("merge"), "id").select("id", "text")
                   .mapInArrow(_arrays(size), "id long, n long, set binary"))
 
     # Step 3.
