@@ -228,7 +228,8 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     n_lines (that the text had) and n_deleted."""
     gone = stored(shared_lines(docs, id_col, text, min_words).withColumnRenamed("key", "_key"))
     rows = docs.select(whole_rows(docs).alias("row"), _row_key(col(id_col), text_of(text)).alias("key"))
-    both = rows.join(gone, F.col("key") == F.col("_key"), "left")
+    # Joined by a shuffle at every size, as the keys of a large corpus need it.
+    both = rows.join(gone.hint("merge"), F.col("key") == F.col("_key"), "left")
     lines = F.split(F.col("row").getField(text), "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.get("gone", i)), "\n")
     cleaned = F.when(F.col("gone").isNull(), F.col("row").getField(text)).otherwise(kept)
