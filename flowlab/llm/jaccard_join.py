@@ -8,8 +8,9 @@ all subsets of its second-level parts, of the size that makes agreement certain.
 share no signature are not similar enough, so no link can be lost.
 
 Steps, none of which forms all pairs of a group as rows:
-1. Texts with equal sets become one class, named by its smallest id.
-2. A set with more than 1 - T of its features found in no other document has no partner.
+1. Texts with equal sets become one class, with a number of its own. The steps below know
+   classes only, each by one set, however many rows or ids have it.
+2. A set with more than 1 - T of its features found in no other class has no partner.
    The features of a part of the domain are counted, which drops most documents.
 3. The rest emit signatures. Signatures shared by two or more are groups; groups with the
    same members are looked at once, large ones in pairs of blocks.
@@ -34,10 +35,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.columns import col
-from flowlab.llm.common import stored, text_of, whole_rows
+from flowlab.llm.common import digest, stored, text_of, whole_rows
 from flowlab.llm.components import components
 from flowlab.llm.shingles import mix, set_digest, shingle_sets
 
@@ -108,24 +109,27 @@ def _binary(parts: list[np.ndarray]) -> pa.Array:
 
 
 def _shingled(size: int, sampled: float | None):
-    """(id, text) batches to (id, n, digest), or with a sample of the domain's features."""
+    """(id, a, b, text) batches to (id, a, b, n, x, y), x and y being the set's digest, or
+    text batches to (x, features), a sample of the domain."""
     limit = np.uint64(min(int((sampled or 0) * 2 ** 64), 2 ** 64 - 1))
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column(1), size)
+            sets, marks = [], []
+            for found in shingle_sets(batch.column(batch.num_columns - 1), size):
+                marks.append(set_digest(found))
+                sets.append(len(found) if sampled is None else found[mix(found + np.uint64(1)) < limit])
+            x, y = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 2).T
             if sampled is None:
-                rows = [(len(s), set_digest(s) if len(s) else None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([n for n, _ in rows], pa.int64()),
-                     pa.array([d for _, d in rows], pa.binary())], ["id", "n", "digest"])
+                    [*batch.columns[:-1], pa.array(sets, pa.int64()), pa.array(x), pa.array(y)],
+                    ["id", "a", "b", "n", "x", "y"])
                 continue
-            few = [s[mix(s + np.uint64(1)) < limit] for s in sets]
-            at = np.concatenate([[0], np.cumsum([len(x) for x in few])]).astype(np.int32)
-            flat = np.concatenate(few) if few else np.empty(0, np.uint64)
+            at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(at, pa.array(flat.view(np.int64)))],
-                ["id", "features"])
+                [pa.array(x), pa.ListArray.from_arrays(at, pa.array(flat.view(np.int64)))],
+                ["x", "features"])
 
     return run
 
@@ -294,19 +298,25 @@ def links(texts: DataFrame, classes: DataFrame, size: int, percent: int,
           plan: PartEnum | None = None) -> DataFrame:
     """(a, b): enough links between classes to join every two that are linked.
 
-    `texts` has id and text, `classes` has id, n and digest, one row for each different set."""
+    `texts` has text and a row's digest a, b; `classes` has class, n, x, y and the digest
+    `row` of one of its rows, one row for each different set."""
     plan = plan or PartEnum(percent)
     # Step 2. A partner shares `percent` % of a set, so a set may have 100 - percent % of its
-    # own; a quarter more of the domain than that is counted.
+    # own; a quarter more of the domain than that is counted. Holders are told apart by half
+    # of their digest; classes that share that half stay, whatever was counted.
     part = min(1.0, 1.25 * (100 - percent) / 100 + 0.025)
-    own = (texts.mapInArrow(_shingled(size, part), "id long, features array<long>")
-           .select("id", F.explode("features").alias("feature"))
-           .groupBy("feature").agg(F.min("id").alias("id"), F.max("id").alias("last"))
-           .where("id = last").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
-    able = stored(classes.join(own, "id", "left").where(
-        100 * F.coalesce("own", F.lit(0)) <= (100 - percent) * F.col("n")).select("id").distinct())
-    # Joined by a shuffle at every size, as the ids of a large corpus need it.
-    sets = stored(texts.join(able.hint("merge"), "id").select("id", "text")
+    own = (texts.select("text").mapInArrow(_shingled(size, part), "x long, features array<long>")
+           .select("x", F.explode("features").alias("feature"))
+           .groupBy("feature").agg(F.min("x").alias("x"), F.max("x").alias("last"))
+           .where("x = last").groupBy("x").agg(F.count(F.lit(1)).alias("own")))
+    halves = classes.where("n > 0").withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("x")))
+    able = stored(halves.join(own, "x", "left").where(
+        (100 * F.coalesce("own", F.lit(0)) <= (100 - percent) * F.col("n")) | (F.col("same") > 1))
+        .select(F.col("class").alias("id"), "row.a", "row.b"))
+    # Joined by a shuffle at every size, as the rows of a large corpus need it; repeated rows
+    # become one before it.
+    sets = stored(texts.select("a", "b", "text").dropDuplicates(["a", "b"])
+                  .join(able.hint("merge"), ["a", "b"]).select("id", "text")
                   .mapInArrow(_arrays(size), "id long, n long, set binary"))
 
     # Step 3.
@@ -341,19 +351,35 @@ def links(texts: DataFrame, classes: DataFrame, size: int, percent: int,
             .mapInArrow(_links(percent), "a long, b long"))
 
 
+def _tables(docs: DataFrame, size: int, id_col: str, text: str, row: Column) -> tuple[DataFrame, DataFrame]:
+    """(id, a, b, text) of each row, `row` being the digest a, b; and (id, a, b, n, x, y),
+    stored, equal x, y standing for equal sets."""
+    texts = docs.select(col(id_col).cast("bigint").alias("id"), row.alias("row"), text_of(text).alias("text")).select(
+        "id", "row.a", "row.b", "text")
+    return texts, stored(texts.mapInArrow(
+        _shingled(size, None), "id long, a long, b long, n long, x long, y long"))
+
+
+def _classes(table: DataFrame) -> DataFrame:
+    """(x, y, n, row, class) of each different set: the digest of its first row, by id, and a
+    number. The numbers follow no order, but are stored and so don't change."""
+    row = F.struct(F.col("id").isNull().alias("nameless"), "id", "a", "b")
+    return stored(table.groupBy("x", "y", "n").agg(F.min(row).alias("row"))
+                  .withColumn("class", F.monotonically_increasing_id()))
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80,
                        id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id (the smallest id that
     links reach), class_id (the smallest id with an equal set)."""
-    texts = docs.select(col(id_col).cast("bigint").alias("id"), text_of(text).alias("text"))
-    table = stored(texts.mapInArrow(_shingled(size, None), "id long, n long, digest binary"))
-    known = table.where("id IS NOT NULL AND n > 0")
-    classes = known.groupBy("digest", "n").agg(F.min("id").alias("id"))
-    found = components(links(texts.where("id IS NOT NULL"), classes, size, percent))
-    named = (classes.join(found, classes["id"] == found["node"], "left")
-             .select("digest", F.col("id").alias("class_id"),
-                     F.coalesce("component", "id").alias("component_id")))
-    return table.join(named, "digest", "left").select(
+    texts, table = _tables(docs, size, id_col, text, digest(col(id_col).cast("bigint"), text_of(text)))
+    classes = _classes(table.where("id IS NOT NULL AND n > 0"))
+    found = stored(components(links(texts.where("id IS NOT NULL"), classes, size, percent)))
+    reached = classes.join(found, classes["class"] == found["node"], "left")
+    names = reached.where("component IS NOT NULL").groupBy("component").agg(F.min("row.id").alias("name"))
+    named = reached.join(names, "component", "left").select(
+        "x", "y", F.col("row.id").alias("class_id"), F.coalesce("name", "row.id").alias("component_id"))
+    return table.join(named, ["x", "y"], "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
         F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"))

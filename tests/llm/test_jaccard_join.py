@@ -108,6 +108,15 @@ def test_odd_rows_and_empty_tables(odd_docs, make_docs, with_clashes, rows):
     assert J.jaccard_components(odd_docs.limit(0)).count() == 0 and J.keep_one(odd_docs.limit(0)).count() == 0
 
 
+def test_repeated_rows_keep_their_links(make_docs, text_of_words):
+    docs = []
+    for i in range(40):  # near pairs of about one size, far from each other
+        words = text_of_words(3000 + i, 60).split()
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-1] + ["changed"]))]
+    got = J.jaccard_components(make_docs(docs * 2 + docs[::3] + docs[:20]).repartition(3)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i - i % 2) for i, _ in docs}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     from flowlab.llm.components import components
 
