@@ -18,12 +18,13 @@ Steps, none of which forms all pairs of a group as rows:
    Sets that may be linked are joined to clusters, so that each set is in one only.
 5. In a cluster the sets themselves are compared, and links that join it are returned;
    large clusters go in pairs of blocks.
-6. Components of the links, by large and small stars.
+6. Components of these links and of those between the classes of one id, by large and
+   small stars.
 
-Cases: a null or wordless text has an empty set and links with nothing. Rows without an id
-count their shingles but aren't linked (their component is null). Rows that share an id are
-one document: it links what any of its texts links. Repeated rows come back as often as
-they went in. An empty table gives an empty result. Only the id and text columns are used.
+Cases: a null or wordless text has an empty set and links with nothing but its id's other
+texts. Rows without an id count their shingles but aren't linked (their component is null).
+Rows that share an id are one document: it links what any of its texts links. Repeated rows
+come back as often as they went in. An empty table gives an empty result. Only the id and text columns are used.
 """
 
 from __future__ import annotations
@@ -356,8 +357,12 @@ def _tables(docs: DataFrame, size: int, id_col: str, text: str, row: Column) ->
     stored, equal x, y standing for equal sets."""
     texts = docs.select(col(id_col).cast("bigint").alias("id"), row.alias("row"), text_of(text).alias("text")).select(
         "id", "row.a", "row.b", "text")
-    return texts, stored(texts.mapInArrow(
-        _shingled(size, None), "id long, a long, b long, n long, x long, y long"))
+    table = texts.mapInArrow(_shingled(size, None), "id long, a long, b long, n long, x long, y long")
+    # Texts without words are alike under one id only, without an id as whole rows.
+    own = digest(F.col("id"), *[F.when(F.col("id").isNull(), F.col(c)) for c in "ab"])
+    return texts, stored(table.withColumn("own", own).select(
+        "id", "a", "b", "n", *[F.when(F.col("n") > 0, F.col(x)).otherwise(F.col("own")[o]).alias(x)
+                               for x, o in zip("xy", "ab")]))
 
 
 def _classes(table: DataFrame) -> DataFrame:
@@ -368,21 +373,37 @@ def _classes(table: DataFrame) -> DataFrame:
                   .withColumn("class", F.monotonically_increasing_id()))
 
 
+def _same_id(table: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): the classes of each id that has several, with the first of them."""
+    several = (table.where("id IS NOT NULL").groupBy("id")
+               .agg(*[f(x).alias(f"{f.__name__}_{x}") for x in "xy" for f in (F.min, F.max)])
+               .where("min_x <> max_x OR min_y <> max_y").select("id"))
+    held = stored(table.join(several, "id").select("id", "x", "y").distinct()
+                  .join(classes, ["x", "y"]).select("id", F.col("class").alias("a")))
+    return held.join(held.groupBy("id").agg(F.min("a").alias("b")), "id").select("a", "b")
+
+
+def _reached(texts: DataFrame, table: DataFrame, size: int, percent: int) -> DataFrame:
+    """The classes of `table` with `component`, a number for all that links reach."""
+    classes = _classes(table)
+    found = components(links(texts, classes, size, percent).union(_same_id(table, classes)))
+    return stored(classes.join(found, classes["class"] == found["node"], "left")
+                  .select("x", "y", "row", F.coalesce("component", "class").alias("component")))
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80,
                        id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id (the smallest id that
     links reach), class_id (the smallest id with an equal set)."""
     texts, table = _tables(docs, size, id_col, text, digest(col(id_col).cast("bigint"), text_of(text)))
-    classes = _classes(table.where("id IS NOT NULL AND n > 0"))
-    found = stored(components(links(texts.where("id IS NOT NULL"), classes, size, percent)))
-    reached = classes.join(found, classes["class"] == found["node"], "left")
-    names = reached.where("component IS NOT NULL").groupBy("component").agg(F.min("row.id").alias("name"))
-    named = reached.join(names, "component", "left").select(
-        "x", "y", F.col("row.id").alias("class_id"), F.coalesce("name", "row.id").alias("component_id"))
+    reached = _reached(texts.where("id IS NOT NULL"), table.where("id IS NOT NULL"), size, percent)
+    names = reached.groupBy("component").agg(F.min("row.id").alias("name"))
+    named = reached.join(names, "component").select(
+        "x", "y", F.col("row.id").alias("class_id"), F.col("name").alias("component_id"))
     return table.join(named, ["x", "y"], "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
-        F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"))
+        F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80,

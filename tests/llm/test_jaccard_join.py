@@ -117,6 +117,14 @@ def test_repeated_rows_keep_their_links(make_docs, text_of_words):
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i - i % 2) for i, _ in docs}
 
 
+def test_an_id_links_what_any_of_its_texts_links(make_docs, text_of_words):
+    short, long, other = (text_of_words(4000 + i, n) for i, n in enumerate((60, 3000, 50)))
+    docs = [(5, short), (5, long), (7, short + " more"), (3, other), (9, other + " more"), (9, long + " more"),
+            (11, None), (11, text_of_words(4010, 40)), (12, ""), (12, " ")]
+    got = {(r["doc_id"], r["component_id"]) for r in J.jaccard_components(make_docs(docs)).collect()}
+    assert got == {(5, 3), (7, 3), (3, 3), (9, 3), (11, 11), (12, 12)}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     from flowlab.llm.components import components
 
