@@ -408,9 +408,15 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80,
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80,
              id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` without those of near duplicates of a document with a smaller id.
-    Of rows that share an id and a text, all stay or go together; rows without an id stay."""
-    judged = jaccard_components(docs, size, percent, id_col, text)
-    gone = stored(judged.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
-    rows = docs.select(whole_rows(docs).alias("row"), col(id_col).alias("_id"))
-    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")
+    """One row of each group of near duplicates in `docs`: that of the smallest id, then of
+    the smallest digest of the whole row; rows with an id go before those without.
+
+    Rows that share an id are one document, so one stays. Rows without an id are linked by
+    their texts like others; those without words as well stay, one of each repeated row."""
+    row = digest(*[col(c) for c in docs.columns])
+    texts, table = _tables(docs, size, id_col, text, row)
+    first = (_reached(texts, table, size, percent).groupBy("component").agg(F.min("row").alias("row"))
+             .select("row.a", "row.b"))
+    rows = docs.select(row.alias("_row"), whole_rows(docs).alias("row")).select("_row.a", "_row.b", "row")
+    return (rows.dropDuplicates(["a", "b"]).join(stored(first).hint("merge"), ["a", "b"], "left_semi")
+            .select("row.*"))

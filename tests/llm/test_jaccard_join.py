@@ -125,6 +125,15 @@ def test_an_id_links_what_any_of_its_texts_links(make_docs, text_of_words):
     assert got == {(5, 3), (7, 3), (3, 3), (9, 3), (11, 11), (12, 12)}
 
 
+def test_one_row_of_each_group_is_kept(make_docs, text_of_words):
+    a, b, c = (text_of_words(4100 + i, 60) for i in range(3))
+    docs = [(2, a), (2, a), (3, a), (None, a), (None, a + " more"), (4, b), (4, b), (None, b),
+            (None, c), (None, c), (None, c + " more"), (6, None), (6, None), (None, None), (None, None)]
+    kept = [(r["doc_id"], r["text"]) for r in J.keep_one(make_docs(docs * 2).repartition(3)).collect()]
+    assert len(kept) == 5 and len([t for i, t in kept if i is None and (t or "").startswith(c)]) == 1
+    assert {(2, a), (4, b), (6, None), (None, None)} <= set(kept)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     from flowlab.llm.components import components
 
