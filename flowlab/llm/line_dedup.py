@@ -5,7 +5,9 @@ rare only with those after it, so an anchor is the hash of a line and as many fo
 ones as make `MIN_WORDS` words; any block of that many words holds one. The first document
 with an anchor is paired with each later one that has it; each pair's lines are aligned by
 patience diff, and aligned runs of lines of `MIN_WORDS` words or more are deleted from the
-later document.
+later document. An alignment leaves what is repeated or comes in another order; where lines
+of the first document are left in the later one, their longest common runs are found by a
+suffix automaton, and those of `MIN_WORDS` words or more go as well, wherever they stand.
 
 Pairs go from an anchor's first document to the others, so a passage that many documents
 share gives one pair for each, never all pairs. Documents with the same lines are one until
@@ -100,9 +102,50 @@ def patience_pairs(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def common_runs(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
+    """(first, end) of the runs of b that stand somewhere in a and can't be made longer,
+    by the suffix automaton of a: time and memory grow with the lines of both."""
+    nexts: list[dict[int, int]] = [{}]
+    link, longest, last = [-1], [0], 0
+    for v in a:
+        new, p = len(nexts), last
+        nexts.append({})
+        longest.append(longest[last] + 1)
+        link.append(0)
+        while p >= 0 and v not in nexts[p]:
+            nexts[p][v] = new
+            p = link[p]
+        if p >= 0:
+            q = nexts[p][v]
+            if longest[p] + 1 < longest[q]:
+                copy = len(nexts)
+                nexts.append(dict(nexts[q]))
+                longest.append(longest[p] + 1)
+                link.append(link[q])
+                while p >= 0 and nexts[p].get(v) == q:
+                    nexts[p][v] = copy
+                    p = link[p]
+                link[q] = q = copy
+            link[new] = q
+        last = new
+    out, state, size = [], 0, 0
+    for n, v in enumerate(b):
+        was = size
+        while state and v not in nexts[state]:
+            state = link[state]
+            size = longest[state]
+        if v in nexts[state]:
+            state, size = nexts[state][v], size + 1
+        if was and size <= was:
+            out.append((n - was, n))
+    if size:
+        out.append((len(b) - size, len(b)))
+    return out
+
+
 def shared_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int],
                   min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """(first, end) lines of b in aligned runs of at least `min_words` words."""
+    """(first, end) lines of b in runs of at least `min_words` words that a has."""
     runs: list[list[int]] = []
     for i, j in patience_pairs(a, b):
         if runs and runs[-1][0] == i and runs[-1][2] == j:
@@ -117,6 +160,13 @@ def shared_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int],
             end -= 1
         if sum(words[first:end]) >= min_words:
             out.append((first, end))
+    gone = {n for first, end in out for n in range(first, end)}
+    before = set(a)
+    if any(v in before and n not in gone for n, v in enumerate(b)):
+        full = [n for n, v in enumerate(b) if v != EMPTY]
+        for first, end in common_runs([v for v in a if v != EMPTY], [b[n] for n in full]):
+            if sum(words[n] for n in full[first:end]) >= min_words:
+                out.append((full[first], full[end - 1] + 1))
     return out
 
 
@@ -158,7 +208,7 @@ def _aligned(min_words: int):
         for batch in batches:
             keys, sizes, lines = [], [], []
             for key, a, b, words in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                found = [n for first, end in shared_blocks(a, b, words, min_words) for n in range(first, end)]
+                found = sorted({n for first, end in shared_blocks(a, b, words, min_words) for n in range(first, end)})
                 if found:
                     keys.append(key)
                     sizes.append(len(b))

@@ -90,6 +90,44 @@ def test_blocks(make_docs, text_of_words):
     assert got == {2: f"{block}\n{short}\n{own[2]}", 5: f"{own[0]}\n{own[1]}", 7: f"{short}\n{own[3]}", 8: own[4]}
 
 
+def test_common_runs():
+    r = random.Random(5)
+    for _ in range(500):
+        a, b = ([r.randint(1, 3) for _ in range(r.randint(0, 9))] for _ in range(2))
+        held = {tuple(a[i:j]) for i in range(len(a)) for j in range(i + 1, len(a) + 1)}
+        runs = {(i, j) for i in range(len(b)) for j in range(i + 1, len(b) + 1) if tuple(b[i:j]) in held}
+        most = {(i, j) for i, j in runs if not {(i - 1, j), (i, j + 1)} & runs}
+        assert set(L.common_runs(a, b)) == most
+
+
+def test_no_passage_of_an_earlier_document_is_left(make_docs, text_of_words):
+    """Against the texts alone: what goes is in a run that an earlier document has, and
+    nothing else stays that is in a shortest such run."""
+    r = random.Random(11)
+    p, q, x, y = (text_of_words(6000 + i, n) for i, n in enumerate((25, 25, 5, 5)))
+    docs = [(1, f"{p}\n{x}\n{p}"), (2, f"{y}\n{p}\nz"), (3, f"{q}\n{x}\n\n{y} 1"), (4, f"u\n{q}\nv\n{q}\n{p}\nw")]
+    lines = [text_of_words(6100 + i, r.randint(3, 14)) for i in range(12)]
+    docs += [(10 + i, "\n".join(r.choice(lines + [""]) for _ in range(r.randint(4, 12)))) for i in range(40)]
+    got = {row["row"]["doc_id"]: row["n_deleted"] for row in L.drop_shared_lines(make_docs(docs)).collect()}
+    assert (got[1], got[2], got[4]) == (0, 1, 3)
+    left = {row["row"]["doc_id"]: row["row"]["text"] for row in L.drop_shared_lines(make_docs(docs)).collect()}
+    before = []
+    for i, text in docs:
+        full = [v for v in text.split("\n") if v]
+        must, may = set(), set()
+        for a in range(len(full)):
+            for b in range(a + 1, len(full) + 1):
+                run = full[a:b]
+                if sum(len(v.split()) for v in run) >= L.MIN_WORDS and any(
+                        d[n:n + len(run)] == run for d in before for n in range(len(d))):
+                    may |= set(range(a, b))
+                    if sum(len(v.split()) for v in run[:-1]) < L.MIN_WORDS:
+                        must |= set(range(a, b))
+        kept = [v for v in left[i].split("\n") if v]
+        assert len(full) - len(may) <= len(kept) <= len(full) - len(must), i
+        before.append(full)
+
+
 def test_odd_rows_and_empty_tables(odd_docs):
     got = [(r["row"]["doc_id"], r["row"]["text"], r["n_deleted"]) for r in L.drop_shared_lines(odd_docs).collect()]
     assert len(got) == odd_docs.count()
