@@ -125,6 +125,13 @@ def test_an_id_links_what_any_of_its_texts_links(make_docs, text_of_words):
     assert got == {(5, 3), (7, 3), (3, 3), (9, 3), (11, 11), (12, 12)}
 
 
+def test_texts_of_one_id_are_judged_apart(make_docs, text_of_words):
+    short, long, one, two = (text_of_words(4200 + i, n) for i, n in enumerate((60, 2000, 50, 50)))
+    docs = [(25, short), (25, long), (27, short + " more"), (33, one), (35, one), (35, two)]
+    got = {(r["doc_id"], r["component_id"]) for r in J.jaccard_components(make_docs(docs)).collect()}
+    assert got == {(25, 25), (27, 25), (33, 33), (35, 33)}
+
+
 def test_one_row_of_each_group_is_kept(make_docs, text_of_words):
     a, b, c = (text_of_words(4100 + i, 60) for i in range(3))
     docs = [(2, a), (2, a), (3, a), (None, a), (None, a + " more"), (4, b), (4, b), (None, b),
