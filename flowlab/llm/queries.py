@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import (chat_format, decontaminate, jaccard_join, licence_scan, line_dedup, mixing, pii,
-                         pii_lines, quality_rules, sharding, url_filter)
+from flowlab.llm import (chat_format, decontaminate, embedding_dedup, jaccard_join, licence_scan, line_dedup,
+                         mixing, pii, pii_lines, quality_rules, sharding, spelling, token_alignment, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,3 +153,65 @@ SELECT *, NOT base_failed AND n_kept_words >= 20 AND 100 * n_kept_words >= 30 *
 @query(QUALITY_SQL)
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query("""
+WITH RECURSIVE ok AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+near AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98::DOUBLE),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM near GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""")
+def op11_embedding_dedup(spark, sf_dir):
+    """Vectors of one label with a cosine of 0.98 or more."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+# CRC-32 by its table of 256 remainders, a byte at a time; near words by their texts less a letter.
+SPELLING_SQL = r"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT list(r ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1
+    THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS r FROM (SELECT unnest(range(256)) AS i))),
+runs AS MATERIALIZED (SELECT id, run, count(*) AS n FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(
+    regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(
+    regexp_extract_all(hex(encode(id || ':' || run)), '..'), lambda x: ('0x' || x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, crc),
+words AS MATERIALIZED (SELECT w AS word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+    THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS w FROM hashed)
+  WHERE len(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+less AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS k
+  FROM (SELECT word, unnest(range(len(word))) AS i FROM words)),
+near AS MATERIALIZED (SELECT DISTINCT a, b FROM (
+  SELECT x.word AS a, y.word AS b FROM less x JOIN less y USING (i, k) WHERE x.word <> y.word
+  UNION ALL SELECT l.word, k FROM less l JOIN words w ON w.word = l.k
+  UNION ALL SELECT k, l.word FROM less l JOIN words w ON w.word = l.k)),
+best AS (SELECT a, count(*) AS n_near, min((-n, b)) AS m FROM near JOIN words ON word = b GROUP BY a),
+forms AS MATERIALIZED (SELECT word, n, n_near, CASE WHEN -m[1] >= 5 * n THEN m[2] END AS form,
+    CASE WHEN -m[1] >= 5 * n THEN -m[1] END AS form_n FROM words LEFT JOIN best ON a = word),
+chain AS (SELECT word, word AS root, 0 AS step FROM words
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, coalesce(n_near, 0)::BIGINT AS n_near, form, form_n::BIGINT AS form_n, r.root
+FROM forms f JOIN (SELECT word, max_by(root, step) AS root FROM chain GROUP BY word) r USING (word)"""
+
+
+@query(SPELLING_SQL)
+def op12_spelling_variants(spark, sf_dir):
+    """Words one edit apart, each with its far more frequent form."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query()
+def op13_token_alignment(spark, sf_dir):
+    """Tokens of a byte-level and of a piece vocabulary over the same bytes."""
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json",
+                                        f"{TOKENIZERS}/piece_bpe_32k.model")
