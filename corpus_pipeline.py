@@ -3,6 +3,12 @@
 Each stage is a function of (spark, docs, sf_dir) whose result is written as Parquet to the
 shared folder and read again as the next stage's documents. All but the last return rows
 with the columns of `documents`; the last returns each row's place in the shards.
+
+Cases: null, empty and wordless texts fail the quality rules; a null source is a host and a source
+of its own. Of repeated rows one stays after the second stage, which also keeps one row of each id;
+rows without an id are judged by their texts. Extra columns are carried along, whatever their names.
+The first stage takes frequent lines out of the texts, and leaves the other columns (n_chars too) as
+they were. An empty table gives an empty result, and an empty benchmark finds nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ from flowlab.llm.common import shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, without the lines that too many of their host have."""
     return quality_rules.keep_good(docs)
 
 
@@ -31,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them."""
+    """Documents as often as the mix of the sources takes them, in the order of its slots."""
     return mixing.mixed_rows(docs)
 
 

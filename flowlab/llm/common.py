@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from flowlab.functions.columns import col
 
@@ -50,6 +50,33 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
+def _hashable(frame_type: T.DataType, c: Column) -> Column:
+    """Maps, also inside of other values, as sorted arrays: they have no hash of their own."""
+    if isinstance(frame_type, T.MapType):
+        entry = lambda e: F.struct(
+            _hashable(frame_type.keyType, e["key"]).alias("key"), _hashable(frame_type.valueType, e["value"]).alias("value"))
+        return F.to_json(F.array_sort(F.transform(F.map_entries(c), lambda e: F.to_json(entry(e)))))
+    if isinstance(frame_type, T.ArrayType) and _has_map(frame_type):
+        return F.transform(c, lambda e: _hashable(frame_type.elementType, e))
+    if isinstance(frame_type, T.StructType) and _has_map(frame_type):
+        return F.when(c.isNotNull(), F.struct(*[
+            _hashable(f.dataType, c.getField(f.name)).alias(f"f{i}") for i, f in enumerate(frame_type.fields)]))
+    return c
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
+def row_digest(docs: DataFrame) -> Column:
+    """`digest` of all columns of a row, maps by their entries whatever their order."""
+    return digest(*[_hashable(f.dataType, col(f.name)) for f in docs.schema.fields])
+
+
 def digest(*columns: Column) -> Column:
     """128 bits of the columns' values as a struct of two longs; nulls count as values."""
     marks = [F.when(c.isNull(), 1).otherwise(0) for c in columns]

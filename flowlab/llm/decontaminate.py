@@ -10,9 +10,12 @@ punctuation don't count; edits are in characters of that form. The items are a q
 that every document is held against, in blocks of bounded size: each block is one pass
 over the documents, whose automaton is sent to the executors. Nothing is shuffled.
 
-Cases: a null or empty text holds nothing. Items of fewer than `min_chars` characters in
-that form are common phrases rather than evidence, and match nothing; so do null items.
-Equal items are all reported. Repeated rows are each reported. Rows without an id are
+An item too short for an edit (fewer than 100 / max_edits_pct characters) has no piece but
+itself: it matches where it stands exactly, between word bounds. Scripts without spaces have a
+bound at every character.
+
+Cases: a null or empty text holds nothing. Items without a letter or digit (null, empty, symbols
+only) have no such form and match nothing; `blank_items` lists them. Equal items are all reported. Repeated rows are each reported. Rows without an id are
 reported with a null id. Empty tables give empty results. Other columns aren't looked at.
 """
 
@@ -31,7 +34,6 @@ from flowlab.llm.common import text_of
 from flowlab.llm.shingles import slices
 
 MAX_EDITS_PCT = 6     # edits allowed, as a share of the item's characters
-MIN_CHARS = 24        # shorter items match nothing
 BLOCK_CHARS = 1 << 21  # of items in one block, about
 
 _WORD = re.compile(r"\w+")
@@ -87,6 +89,19 @@ def best_match(item: str, text: str, masks: dict[str, int] | None = None) -> tup
     return best, end
 
 
+def _unspaced(c: str) -> bool:
+    """Whether a character is of a script that sets no spaces between words."""
+    return "\u0e00" <= c <= "\u0eff" or "\u2e80" <= c <= "\ua4cf" or "\uf900" <= c <= "\ufaff" or c >= "\U00020000"
+
+
+def bounded(form: str, start: int, end: int) -> bool:
+    """Whether form[start:end] begins and ends between words."""
+    def bound(at: int) -> bool:
+        return at in (0, len(form)) or " " in form[at - 1:at + 1] or _unspaced(form[at - 1]) or _unspaced(form[at])
+
+    return bound(start) and bound(end)
+
+
 def item_masks(item: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(item):
@@ -97,8 +112,8 @@ def item_masks(item: str) -> dict[str, int]:
 class Matcher:
     """The automaton and bit masks of one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], max_edits_pct: int, min_chars: int):
-        self.items = [(i, p) for i, t in items if len(p := plain(t)) >= min_chars]
+    def __init__(self, items: list[tuple[int, str]], max_edits_pct: int):
+        self.items = [(i, p) for i, t in items if (p := plain(t))]
         self.edits = [len(p) * max_edits_pct // 100 for _, p in self.items]
         self.masks = [item_masks(p) for _, p in self.items]
         spots: dict[str, list[tuple[int, int]]] = {}
@@ -120,6 +135,11 @@ class Matcher:
                 starts.setdefault(n, set()).add(last + 1 - size - at)
         for n, found in starts.items():
             item, slack = self.items[n][1], self.edits[n]
+            if not slack:
+                for start in sorted(found):
+                    if bounded(text, start, start + len(item)):
+                        yield self.items[n][0], 0, start, start + len(item)
+                continue
             spans: list[list[int]] = []
             # The pieces of one occurrence put its start at most 2 * slack apart.
             for start in sorted(found):
@@ -200,29 +220,35 @@ FIELDS = ["doc_id", "item_id", "n_places", "distance", "start_char", "end_char"]
 
 
 def _sent(docs: DataFrame, items: DataFrame, item_id: str, item_text: str,
-          max_edits_pct: int, min_chars: int, block_chars: int):
+          max_edits_pct: int, block_chars: int):
     for block in _blocks(items, item_id, item_text, block_chars):
-        yield uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast((block, max_edits_pct, min_chars))
+        yield uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast((block, max_edits_pct))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text",
                item_id: str = "item_id", item_text: str = "text", max_edits_pct: int = MAX_EDITS_PCT,
-               min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document row and item that occurs in it: doc_id, item_id, n_places, and the
     best place's distance and its code points start_char, end_char (end exclusive)."""
     rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
     schema = ", ".join(f"{f} long" for f in FIELDS)
     found = docs.sparkSession.createDataFrame([], schema)
-    for key, sent in _sent(docs, items, item_id, item_text, max_edits_pct, min_chars, block_chars):
+    for key, sent in _sent(docs, items, item_id, item_text, max_edits_pct, block_chars):
         found = found.union(rows.mapInArrow(_reporter(key, sent), schema))
     return found
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", max_edits_pct: int = MAX_EDITS_PCT,
-                  min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of `docs` in which no item occurs, unchanged."""
     at = docs.columns.index(text)
-    for key, sent in _sent(docs, items, item_id, item_text, max_edits_pct, min_chars, block_chars):
+    for key, sent in _sent(docs, items, item_id, item_text, max_edits_pct, block_chars):
         docs = docs.mapInArrow(_filter(key, sent, at), docs.schema)
     return docs
+
+
+def blank_items(items: DataFrame, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(item_id) of the items that can't be looked for: those without a letter or digit."""
+    return items.where(~text_of(item_text).rlike(r"[\p{L}\p{N}\p{M}_]")).select(
+        col(item_id).cast("bigint").alias("item_id"))

@@ -192,9 +192,12 @@ def traverse(x: np.ndarray, first: Node, second: Node | None, cosine: float, fou
         """Links between nodes of a single row each."""
         for at in range(0, len(a), ROWS):
             rows, rest = a[at:at + ROWS], b[at:] if same else b
-            for i, j in zip(*np.nonzero(x[rows] @ x[rest].T >= cosine)):
-                if not same or i < j:
-                    found.add_all(rows[i:i + 1], rest[j:j + 1])
+            near = x[rows] @ x[rest].T >= cosine
+            if same:
+                near = np.triu(near, 1)
+            some = near.any(axis=1)
+            if some.any():
+                found.add(rows[some], rest, near[some])
 
     def undecided(ps: Nodes, qs: Nodes, same: bool) -> list[tuple[Node, Node]]:
         """The pairs of nodes that the radii don't decide."""

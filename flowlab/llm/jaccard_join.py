@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.columns import col
-from flowlab.llm.common import digest, stored, text_of, whole_rows
+from flowlab.llm.common import digest, row_digest, stored, text_of, whole_rows
 from flowlab.llm.components import components
 from flowlab.llm.shingles import mix, set_digest, shingle_sets
 
@@ -413,7 +413,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80,
 
     Rows that share an id are one document, so one stays. Rows without an id are linked by
     their texts like others; those without words as well stay, one of each repeated row."""
-    row = digest(*[col(c) for c in docs.columns])
+    row = row_digest(docs)
     texts, table = _tables(docs, size, id_col, text, row)
     first = (_reached(texts, table, size, percent).groupBy("component").agg(F.min("row").alias("row"))
              .select("row.a", "row.b"))

@@ -11,6 +11,8 @@ its last block is cut where the target is reached.
 All ranks and positions are sums over hash buckets of bounded size, in two levels, so no
 source is ever in one task. Only DataFrame functions run here.
 
+A document's places in the mix are the slots of its blocks; mixed rows are written in that order.
+
 Cases: a null or wordless text has size 0 and is never taken. A null source is a source of
 its own, the last one. Repeated rows are laid out one after the other, each with its own
 words. An empty table gives an empty result. Ids may be null or repeat. Other columns
@@ -24,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlab.functions.columns import col
-from flowlab.llm.common import digest, offsets, stored, text_of, whole_rows, words_of
+from flowlab.llm.common import offsets, row_digest, stored, text_of, whole_rows, words_of
 
 WEIGHTS = (1, 2, 3)     # of the sources in order of their names, repeating
 MAX_REPEATS = 3         # of a document
@@ -39,7 +41,7 @@ def sized_rows(docs: DataFrame, id_col: str, text: str, source: str) -> DataFram
     return docs.select(
         col(id_col).alias("doc_id"), col(source).alias("source"),
         F.size(words_of(text_of(text))).cast("bigint").alias("size"),
-        digest(*[col(c) for c in docs.columns]).alias("d"))
+        row_digest(docs).alias("d"))
 
 
 def source_targets(rows: DataFrame, weights: Sequence[int] = WEIGHTS,
@@ -159,24 +161,31 @@ def mixing_schedule(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
         weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per row of `docs`: doc_id, size, source_size, target, taken."""
+    """One row per row of `docs`: doc_id, size, source_size, target, taken, and its places in the
+    schedule: first_slot (null where nothing is taken) and n_slots."""
     placed, pieces = _mixed(docs, id_col, text, source, weights, max_repeats)
-    taken = pieces.groupBy("at", "start").agg(F.sum("n_words").alias("words"))
+    taken = pieces.groupBy("at", "start").agg(
+        F.sum("n_words").alias("words"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("n_slots"))
+    own = F.col("size") > 0  # a row without words shares its start with the next one
     return placed.join(taken, ["at", "start"], "left").select(
         "doc_id", "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.coalesce("words", F.lit(0))).otherwise(F.lit(0)).alias("taken"))
+        F.when(own, F.coalesce("words", F.lit(0))).otherwise(F.lit(0)).alias("taken"),
+        F.when(own, F.col("first_slot")).alias("first_slot"),
+        F.when(own, F.coalesce("n_slots", F.lit(0))).otherwise(F.lit(0)).alias("n_slots"))
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
                weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """The rows of `docs` as the mix takes them: once for each pass that takes half of the
-    row's words or more (all of them, but where the source's target cuts a document)."""
+    """The rows of `docs` as the mix takes them, in order of the schedule's slots: once for each
+    pass that takes half of the row's words or more (all of them, but where the source's target
+    cuts a document), at the first slot of the pass."""
     placed, pieces = _mixed(docs, id_col, text, source, weights, max_repeats)
-    passes = (pieces.groupBy("at", "start", "size", "pass").agg(F.sum("n_words").alias("words"))
-              .where("2 * words >= size").groupBy("at", "start").agg(F.count(F.lit(1)).alias("times")))
-    times = (placed.where("size > 0").select("at", "start", "d").join(passes, ["at", "start"])
-             .groupBy("d").agg(F.sum("times").alias("_times")))
-    rows = docs.select(whole_rows(docs).alias("row"), digest(*[col(c) for c in docs.columns]).alias("d"))
-    return (rows.join(times, "d").dropDuplicates(["d"])
-            .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "_times")))
-            .select("row.*"))
+    passes = (pieces.groupBy("at", "start", "size", "pass")
+              .agg(F.sum("n_words").alias("words"), F.min("slot").alias("slot")).where("2 * words >= size"))
+    # Copies of a row are as many slots of its digest: rows of a join, which adaptive execution
+    # splits where they are very many.
+    places = (placed.where("size > 0").select("at", "start", "d").join(passes, ["at", "start"])
+              .select(F.col("d").alias("_d"), F.col("slot").alias("_slot")))
+    rows = docs.select(whole_rows(docs).alias("row"), row_digest(docs).alias("_d"))
+    return (rows.dropDuplicates(["_d"]).join(stored(places).hint("merge"), "_d")
+            .repartitionByRange("_slot").sortWithinPartitions("_slot").select("row.*"))

@@ -86,8 +86,15 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str
           max_share: float = MAX_HOST_SHARE, min_docs: int = MIN_LINE_DOCS) -> DataFrame:
     """One row per row of `docs`: its statistics, `base_failed`, `n_kept_words`, `kept`, and
     `row`, the whole input row (dropped from the plan where it isn't used)."""
-    frequent = stored(frequent_lines(docs, text, host, max_share, min_docs)
-                      .withColumnRenamed("host", "frequent_host"))
+    return _judged(docs, _frequent(docs, text, host, max_share, min_docs), id_col, text, host)
+
+
+def _frequent(docs: DataFrame, text: str, host: str, max_share: float, min_docs: int) -> DataFrame:
+    return stored(frequent_lines(docs, text, host, max_share, min_docs)
+                  .withColumnRenamed("host", "frequent_host"))
+
+
+def _judged(docs: DataFrame, frequent: DataFrame, id_col: str, text: str, host: str) -> DataFrame:
     t = F.col("_text")
     rows = docs.select(whole_rows(docs).alias("row"), col(id_col).alias("doc_id"),
                        col(host).alias("_host"), text_of(text).alias("_text"))
@@ -121,8 +128,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str
 def without_frequent_lines(docs: DataFrame, text: str = "text", host: str = "source",
                            max_share: float = MAX_HOST_SHARE, min_docs: int = MIN_LINE_DOCS) -> DataFrame:
     """`docs` with the lines above the limits taken out of their texts."""
-    frequent = stored(frequent_lines(docs, text, host, max_share, min_docs)
-                      .withColumnRenamed("host", "frequent_host"))
+    return _without(docs, _frequent(docs, text, host, max_share, min_docs), text, host)
+
+
+def _without(docs: DataFrame, frequent: DataFrame, text: str, host: str) -> DataFrame:
     rows = docs.select(whole_rows(docs).alias("row"), col(host).alias("_host"))
     t = F.col("row").getField(text)
     even = F.regexp_replace(F.regexp_replace(F.lower(t), r"[\x20\x09\x0B-\x0D]+", " "), "[0-9]+", "0")
@@ -135,6 +144,10 @@ def without_frequent_lines(docs: DataFrame, text: str = "text", host: str = "sou
     return rows.select(F.col("row").withField(f"`{text}`", clean).alias("row")).select("row.*")
 
 
-def keep_good(docs: DataFrame, **names: str) -> DataFrame:
-    """The rows of `docs` that the rules keep, unchanged."""
-    return judge(docs, **names).where("kept").select("row.*")
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
+              max_share: float = MAX_HOST_SHARE, min_docs: int = MIN_LINE_DOCS) -> DataFrame:
+    """The rows of `docs` that the rules keep, without the lines above the limits. Other columns
+    are unchanged, also where they tell of the text as it was."""
+    frequent = _frequent(docs, text, host, max_share, min_docs)
+    kept = _judged(docs, frequent, id_col, text, host).where("kept").select("row.*")
+    return _without(kept, frequent, text, host)

@@ -54,7 +54,9 @@ def test_equals_brute_force(spark, make_docs, text_of_words, with_clashes, rows)
     for i, text in docs:
         for n, item in items:
             form = D.plain(item)
-            if len(form) >= D.MIN_CHARS and nearest(form, D.plain(text)) <= len(form) * D.MAX_EDITS_PCT // 100:
+            slack = len(form) * D.MAX_EDITS_PCT // 100
+            whole = f" {form} " in f" {D.plain(text)} "
+            if form and (nearest(form, D.plain(text)) <= slack if slack else whole):
                 want.add((i, n, nearest(form, D.plain(text))))
     assert 10 < len(want) < 200
     table = spark.createDataFrame(items, ITEMS)
@@ -67,6 +69,20 @@ def test_equals_brute_force(spark, make_docs, text_of_words, with_clashes, rows)
     assert rows(left) == rows(make_docs(docs).join(left.select("doc_id"), "doc_id").select(*left.columns))
 
 
+def test_short_items_are_found_where_they_stand_exactly(spark, make_docs):
+    """Too short for an edit: exactly, between word bounds, which scripts without spaces have
+    at every character."""
+    items = spark.createDataFrame([(1, "Who is it, Bob 42?"), (2, "one"), (3, "什么是最大的行星"), (4, "?!"), (5, None),
+                                   (6, " \n"), (7, "it"), (8, "seventeen letters")], ITEMS)
+    docs = make_docs([(1, "He said: who is\nit - bob 42!"), (2, "someone, oneself, bones"), (3, "the One"),
+                      (4, "问题:什么是最大的行星?答案是木星"), (5, "我想知道什么是最大的行星吗"), (6, "who is it bob 421"),
+                      (7, "Seventeen letters."), (8, "seventeen lettersx"), (9, "?!"), (10, None)])
+    found = {tuple(r)[:2] for r in D.find_leaks(docs, items).collect()}
+    assert found == {(1, 1), (1, 7), (3, 2), (4, 3), (5, 3), (6, 7), (7, 8)}
+    assert {r["doc_id"] for r in D.without_leaks(docs, items).collect()} == {2, 8, 9, 10}
+    assert sorted(r[0] for r in D.blank_items(items).collect()) == [4, 5, 6]
+
+
 def test_places_are_those_of_the_text(spark, make_docs, text_of_words):
     item = text_of_words(1, 20)
     text = f"«Été» {text_of_words(2, 15)}:\n\n{item.upper()}!! {text_of_words(3, 9)} ({item})"

@@ -54,7 +54,10 @@ def test_targets_are_met(make_docs, text_of_words, with_clashes, rows):
     frame = make_docs(docs)
     first = M.mix(frame)
     check(docs, first.collect())
-    assert rows(M.mix(with_clashes(frame.repartition(7))).drop("d")) != [] and rows(M.mix(frame.repartition(7))) == rows(first)
+    assert rows(M.mix(frame.repartition(7))) == rows(first)
+    clashing = M.mix(with_clashes(frame.repartition(7)))
+    assert clashing.columns == first.columns
+    check(docs, clashing.collect())
 
 
 def test_schedule_keeps_the_shares_all_along(make_docs, text_of_words):
@@ -69,6 +72,35 @@ def test_schedule_keeps_the_shares_all_along(make_docs, text_of_words):
                 assert abs(by[i] / total - share) < 0.02
 
 
+def test_schedule_places_the_documents(make_docs, text_of_words, monkeypatch):
+    """Documents in order of their first slots keep the shares all along; with points that
+    aren't spread evenly they are placed elsewhere."""
+    docs = make_docs([(i, text_of_words(i, 50), f"s{i % 3}") for i in range(600)])
+    got = M.mix(docs).where("taken > 0").select("doc_id", "taken", "first_slot", "n_slots").orderBy("first_slot").collect()
+    source = lambda r: r["doc_id"] % 3
+    total, by = 0, [0, 0, 0]
+    for r in got[:250]:  # before any document is taken again
+        by[source(r)] += 1
+        total += 1
+        if total > 60:
+            for i, share in enumerate((1 / 6, 2 / 6, 3 / 6)):
+                assert abs(by[i] / total - share) < 0.05
+    monkeypatch.setattr(M, "PHI", 1)
+    other = {r["doc_id"]: r["first_slot"] for r in M.mix(docs).collect()}
+    assert sum(other[r["doc_id"]] != r["first_slot"] for r in got) > 300
+
+
+def test_mixed_rows_come_in_order_of_their_slots(make_docs, text_of_words):
+    docs = make_docs([(i, text_of_words(i, 50), f"s{i % 3}") for i in range(600)])
+    rows = M.mixed_rows(docs).collect()
+    by = [0, 0, 0]
+    for n, r in enumerate(rows[:500], 1):
+        by[r["doc_id"] % 3] += 1
+        if n > 60:
+            for i, share in enumerate((1 / 6, 2 / 6, 3 / 6)):
+                assert abs(by[i] / n - share) < 0.05
+
+
 def test_pieces_join_to_whole_documents(make_docs, text_of_words):
     docs = [(i, text_of_words(i, 5 + i % 90), f"s{i % 4}") for i in range(200)]
     pieces = M.mixing_schedule(make_docs(docs)).collect()
@@ -98,5 +130,17 @@ def test_odd_rows_and_empty_tables(odd_docs, make_docs):
     assert len(got) == odd_docs.count()
     assert sum(r["taken"] for r in got) > 0 and all(r["taken"] <= 3 * r["size"] for r in got)
     assert M.mix(odd_docs.limit(0)).count() == 0 and M.mixed_rows(odd_docs.limit(0)).count() == 0
-    assert [tuple(r) for r in M.mix(make_docs([(1, None), (2, "")])).collect()] == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)] \
-        or {r["taken"] for r in M.mix(make_docs([(1, None), (2, "")])).collect()} == {0}
+    assert sorted(tuple(r) for r in M.mix(make_docs([(1, None), (2, "")])).collect()) == [
+        (1, 0, 0, 0.0, 0, None, 0), (2, 0, 0, 0.0, 0, None, 0)]
+
+
+def test_map_columns_and_many_equal_rows(make_docs, text_of_words):
+    same = [(7, text_of_words(7, 20), "hot")] * 400
+    docs = make_docs(same + [(100 + i, text_of_words(i, 20), "b") for i in range(200)])
+    docs = docs.withColumn("tags", F.create_map(F.lit("k"), F.array(F.create_map(F.lit(1), F.col("lang")))))
+    got = M.mix(docs)
+    assert got.count() == 600 and got.agg(F.sum("taken")).head()[0] == 12_000
+    mixed = M.mixed_rows(docs)
+    assert mixed.columns == docs.columns
+    # Weights 1 and 2 of b and hot.
+    assert {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()} == {"b": 200, "hot": 400}

@@ -65,9 +65,27 @@ def test_stages_keep_the_columns(spark, folder):
         assert stage(spark, docs.limit(0), folder[0]).count() == 0
 
 
+def test_no_kept_text_holds_a_frequent_line(spark, make_docs, text_of_words, tmp_path):
+    menu = text_of_words(500, 25)
+    docs = make_docs([(i, f"{menu}\n{text_of_words(i, 40)}", "shop") for i in range(60)])
+    kept = P.quality(spark, docs, "").collect()
+    assert len(kept) == 60 and all(r["text"] == text_of_words(r["doc_id"], 40) for r in kept)
+
+
+def test_odd_rows_clashing_names_and_empty_tables(spark, odd_docs, with_clashes, text_of_words, tmp_path):
+    """From end to end: the last stage's rows are those of the odd documents that are kept."""
+    items = [(1, text_of_words(1, 60)), (2, None)]
+    for name, docs in (("odd", with_clashes(odd_docs)), ("empty", odd_docs.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    # Documents 5 and 6 hold the item; 4, 8 and the one without an id are left.
+    assert {r["doc_id"] for r in P.run(spark, f"{tmp_path}/odd").collect()} <= {4, 8, None}
+    assert P.run(spark, f"{tmp_path}/empty").count() == 0
+
+
 def test_registered():
     import __spark_entry__ as entry
 
     names = list(entry.queries())
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13

@@ -43,6 +43,9 @@ def test_frequent_lines_deplete_documents(make_docs, text_of_words):
     for i in range(80):
         assert got[i]["n_kept_words"] == (60 if i % 2 else 6) and got[i]["kept"] == bool(i % 2)
     assert all(got[100 + i]["kept"] and got[100 + i]["n_kept_words"] == 85 for i in range(5))  # too few documents
+    good = {r["doc_id"]: r["text"] for r in Q.keep_good(make_docs(docs)).collect()}
+    assert good == {i: text_of_words(i, 60) for i in range(80) if i % 2} | {
+        100 + i: f"{menu.upper()}\n{text_of_words(i, 60)}" for i in range(5)}
     clean = {r["doc_id"]: r["text"] for r in Q.without_frequent_lines(make_docs(docs)).collect()}
     assert clean[1] == text_of_words(1, 60) and clean[101].startswith(menu.upper())
 
