@@ -46,7 +46,7 @@ Batches = Iterable[pa.RecordBatch]
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_PAIRS = 2_000_000   # pairs of ids that are broadcast, at most (about 100 MB)
 TEXT_BYTES = 8 << 20    # of text merged in lockstep, about
-TOGETHER = 256          # texts encoded at once
+TOGETHER = 64           # texts encoded at once
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -72,8 +72,8 @@ class BytePairs:
         for piece, i in ranks.items():
             self.pieces[i] = piece
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self.encoder.encode_ordinary(" " + text) for text in texts]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [self.encoder.encode_to_numpy(" " + text, disallowed_special=()) for text in texts]
 
 
 class Pieces:
@@ -89,8 +89,8 @@ class Pieces:
             return bytes([int(piece[1:-1], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int32) for ids in self.model.encode(texts, num_threads=1)]
 
 
 class Merged:
@@ -108,44 +108,37 @@ def merge_lockstep(ids_a: np.ndarray, ends_a: np.ndarray, at_a: np.ndarray,
     """The links and cuts of documents given by their tokens' ids and ends (bytes from the
     document's start), with the first token of each document in `at_a` and `at_b`. Both sides
     of a document end at the same byte, and no token is empty."""
-    docs = np.flatnonzero(at_a[1:] > at_a[:-1])
-    a, b, last = at_a[docs], at_b[docs], at_a[docs + 1]
-    link_docs, link_as, link_bs, cut_docs, cut_as, cut_bs = ([] for _ in range(6))
+    count = len(at_a) - 1
+    docs = np.flatnonzero(at_a[1:] > at_a[:-1]).astype(np.min_scalar_type(max(count, 1)))
+    a, b, last = at_a[docs], at_b[docs], at_a[docs + np.int64(1)]
+    steps: list[tuple] = []
     while len(docs):
         end_a, end_b = ends_a[a], ends_b[b]
-        link_docs.append(docs)
-        link_as.append(a)
-        link_bs.append(b)
-        on_a, on_b = end_a <= end_b, end_b <= end_a
-        cut = on_a & on_b
-        cut_docs.append(docs[cut])
-        cut_as.append(a[cut])
-        cut_bs.append(b[cut])
-        a, b = a + on_a, b + on_b
+        steps.append((docs, a, b, end_a == end_b))
+        a, b = a + (end_a <= end_b), b + (end_b <= end_a)
         running = a < last
         if not running.all():
             docs, a, b, last = docs[running], a[running], b[running], last[running]
-    count = len(at_a) - 1
-
-    def ordered(owners: list, *columns: list) -> tuple:
-        owner = np.concatenate([np.empty(0, np.int64), *owners])
-        order = np.argsort(owner, kind="stable")  # steps are in order already
-        return (*[np.concatenate([np.empty(0, np.int64), *c])[order] for c in columns],
-                np.searchsorted(owner[order], np.arange(count + 1)))
-
-    link_a, link_b, link_at = ordered(link_docs, link_as, link_bs)
-    return Merged(ids_a[link_a], ids_b[link_b], link_at, *ordered(cut_docs, cut_as, cut_bs))
+    if not steps:
+        none = np.empty(0, np.int32)
+        return Merged(none, none, np.zeros(count + 1, np.int64), none, none, np.zeros(count + 1, np.int64))
+    owners, a, b, cuts = (np.concatenate(c) for c in zip(*steps))
+    order = np.argsort(owners, kind="stable")  # by document; its steps are in order already
+    owners, a, b, cuts = owners[order], a[order], b[order], cuts[order]
+    bounds = np.arange(count + 1)
+    return Merged(ids_a[a], ids_b[b], np.searchsorted(owners, bounds),
+                  a[cuts], b[cuts], np.searchsorted(owners[cuts], bounds))
 
 
 class Batch:
     """The tokens of a batch's documents on one side."""
 
-    def __init__(self, tokens: list[list[int]], lengths: np.ndarray):
-        self.at = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
-        self.ids = np.concatenate([np.empty(0, np.int32), *[np.array(t, np.int32) for t in tokens]]).astype(np.int32)
+    def __init__(self, tokens: list[np.ndarray], lengths: np.ndarray):
+        self.at = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
+        self.ids = np.concatenate([np.empty(0, np.int32), *tokens]).astype(np.int32)
         total = np.cumsum(lengths[self.ids])
         before = np.concatenate([[0], total])[self.at[:-1]]
-        self.ends = total - np.repeat(before, np.diff(self.at))
+        self.ends = (total - np.repeat(before, np.diff(self.at))).astype(np.int32)
 
 
 def _group_hashes(side_a: Batch, side_b: Batch, merged: Merged, names: list[list[np.ndarray]]) -> Iterator[str]:
@@ -154,21 +147,23 @@ def _group_hashes(side_a: Batch, side_b: Batch, merged: Merged, names: list[list
         if start == stop:
             yield ""
             continue
-        texts = []
+        parts, ends = [], []
         for side, cuts, (comma, last) in ((side_a, merged.cut_a, names[0]), (side_b, merged.cut_b, names[1])):
-            first, end = side.at[d], side.at[d + 1]
-            ids = side.ids[first:end]
-            parts = comma[ids]
-            ends = cuts[start:stop] - first
-            parts[ends] = last[ids[ends]]
-            texts.append((parts, np.concatenate([[0], ends + 1])))
-        # Both sides' parts, dealt in order of the groups, A before B.
-        (pa_, ga), (pb, gb) = texts
-        group_a = np.repeat(np.arange(len(ga) - 1), np.diff(ga))
-        group_b = np.repeat(np.arange(len(gb) - 1), np.diff(gb))
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        text = "".join(np.concatenate([pa_, pb])[order].tolist())
-        yield hashlib.sha256(text[:-1].encode()).hexdigest()
+            ids = side.ids[side.at[d]:side.at[d + 1]]
+            at = cuts[start:stop] - side.at[d]
+            text = comma[ids]
+            text[at] = last[ids[at]]
+            parts.append(text)
+            ends.append(at + 1)
+        # A token comes after all of its own side before it, and after the other side's groups
+        # before its own; B's tokens also after those of A in their group.
+        (text_a, text_b), (ends_a, ends_b) = parts, ends
+        groups = np.arange(len(ends_a))
+        before_b = np.concatenate([[0], ends_b[:-1]])
+        out = np.empty(len(text_a) + len(text_b), object)
+        out[np.arange(len(text_a)) + before_b[np.repeat(groups, np.diff(ends_a, prepend=0))]] = text_a
+        out[np.arange(len(text_b)) + ends_a[np.repeat(groups, np.diff(ends_b, prepend=0))]] = text_b
+        yield hashlib.sha256("".join(out.tolist())[:-1].encode()).hexdigest()
 
 
 def _aligned(path_a: str, path_b: str):
@@ -191,29 +186,28 @@ def _aligned(path_a: str, path_b: str):
 
 
 def _merge_texts(texts: list[str | None], sides: tuple, lengths: list, names: list) -> list[pa.Array]:
-    tokens: tuple[list, list] = ([[] for _ in texts], [[] for _ in texts])
+    none = np.empty(0, np.int32)
+    tokens: tuple[list, list] = ([none] * len(texts), [none] * len(texts))
     full = [i for i, t in enumerate(texts) if t]
     for at in range(0, len(full), TOGETHER):
         some = full[at:at + TOGETHER]
         part = [texts[i] for i in some]
-        for i, text, a, b in zip(some, part, *(s.encode(part) for s in sides)):
+        for i, text, *pair in zip(some, part, *(s.encode(part) for s in sides)):
             want = b" " + text.encode()
-            if all(b"".join([s.pieces[x] for x in ids]) == want for s, ids in zip(sides, (a, b))):
-                tokens[0][i], tokens[1][i] = a, b
+            # A's bytes are the text's by construction; B may drop or replace some.
+            if b"".join(map(sides[1].pieces.__getitem__, pair[1].tolist())) == want:
+                tokens[0][i], tokens[1][i] = pair
     side_a, side_b = (Batch(t, n) for t, n in zip(tokens, lengths))
+    del tokens
     merged = merge_lockstep(side_a.ids, side_a.ends, side_a.at, side_b.ids, side_b.ends, side_b.at)
     hashes = list(_group_hashes(side_a, side_b, merged, names))
-    owners = np.repeat(np.arange(len(texts)), np.diff(merged.link_at))
-    pairs = merged.link_a.astype(np.int64) << 32 | merged.link_b
-    order = np.lexsort((pairs, owners))
-    owners, pairs = owners[order], pairs[order]
-    new = np.flatnonzero(np.concatenate([[True], (owners[1:] != owners[:-1]) | (pairs[1:] != pairs[:-1])])[:len(pairs)])
-    times = np.diff(np.append(new, len(pairs)))
-    at = np.searchsorted(owners[new], np.arange(len(texts) + 1)).astype(np.int32)
-    return [pa.array(np.diff(side_a.at)), pa.array(np.diff(side_b.at)), pa.array(np.diff(merged.cut_at)),
-            pa.array(np.diff(merged.link_at)), pa.array(hashes, pa.string()),
-            pa.ListArray.from_arrays(at, pa.array(pairs[new])),
-            pa.ListArray.from_arrays(at, pa.array(times.astype(np.int32)))]
+    linked = merged.link_a.astype(np.int64) << 32 | merged.link_b
+    found = [np.unique(linked[i:j], return_counts=True) for i, j in zip(merged.link_at[:-1], merged.link_at[1:])]
+    at = np.concatenate([[0], np.cumsum([len(p) for p, _ in found])]).astype(np.int32)
+    pairs, times = (np.concatenate([np.empty(0, np.int64), *c]) for c in zip(*found))
+    return [pa.array(np.diff(x).astype(np.int64)) for x in (side_a.at, side_b.at, merged.cut_at, merged.link_at)] + [
+        pa.array(hashes, pa.string()), pa.ListArray.from_arrays(at, pa.array(pairs.astype(np.int64))),
+        pa.ListArray.from_arrays(at, pa.array(times.astype(np.int32)))]
 
 
 SCHEMA = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
