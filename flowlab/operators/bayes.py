@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,6 +18,36 @@ from pyspark.sql import DataFrame, functions as F
 # Fixed value: share of the largest feature variance added to every variance.
 SMOOTHING = 1e-5
 
+
+def class_sums(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, means and population variances from summaries `s` of count, mean, variance."""
+    n = np.array([float(r["s"]["count"]) for r in rows])
+    mean = np.array([r["s"]["mean"].toArray() for r in rows])
+    return n, mean, np.array([r["s"]["variance"].toArray() for r in rows]) * ((n - 1) / n)[:, None]
+
+
+def smoothed(n: np.ndarray, mean: np.ndarray, var: np.ndarray, smoothing: float) -> tuple[np.ndarray, np.ndarray]:
+    """Log priors, and variances with a share of the largest variance over all rows added."""
+    share = (n / n.sum())[:, None]
+    centre = (share * mean).sum(axis=0)
+    overall = (share * (var + (mean - centre) ** 2)).sum(axis=0)
+    return np.log(n / n.sum()), var + smoothing * overall.max()
+
+
+def score_matrix(prior: np.ndarray, mean: np.ndarray, var: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A centre, and the matrix that gives each class's log score as the product with
+    (d * d, d, 1), d being a row's distance from the centre."""
+    centre = mean.mean(axis=0)
+    offset, precision = mean - centre, 0.5 / var
+    constant = prior - 0.5 * np.log(2.0 * np.pi * var).sum(axis=1) - (offset * offset * precision).sum(axis=1)
+    return centre, np.concatenate([-precision, 2.0 * offset * precision, constant[:, None]], axis=1).T
+
+
+def log_scores(x: np.ndarray, centre: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    d = x - centre
+    return np.concatenate([d * d, d, np.ones((len(d), 1))], axis=1) @ matrix
+
+
 class GaussianBayes(
     Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol,
     DefaultParamsReadable, DefaultParamsWritable,
@@ -41,16 +71,10 @@ class GaussianBayes(
             .agg(stats.alias("s")).collect(),  # one row per class
             key=lambda r: r["c"],
         )
-        n = np.array([float(r["s"]["count"]) for r in rows])
-        mean = np.array([r["s"]["mean"].toArray() for r in rows])
-        sample = np.array([r["s"]["variance"].toArray() for r in rows])
-        var = sample * ((n - 1) / n)[:, None]
-        share = (n / n.sum())[:, None]
-        centre = (share * mean).sum(axis=0)
-        overall = (share * (var + (mean - centre) ** 2)).sum(axis=0)
-        var = var + self.getOrDefault(self.smoothing) * overall.max()
+        n, mean, var = class_sums(rows)
+        priors, var = smoothed(n, mean, var, self.getOrDefault(self.smoothing))
         model = GaussianBayesModel(
-            classes=[float(r["c"]) for r in rows], priors=np.log(n / n.sum()).tolist(),
+            classes=[float(r["c"]) for r in rows], priors=priors.tolist(),
             means=mean.tolist(), variances=var.tolist())
         return self._copyValues(model)
 
@@ -71,33 +95,25 @@ class GaussianBayesModel(
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
-    def _parts(self) -> tuple[np.ndarray, ...]:
-        """Class labels, per-class offsets, means and half inverse variances."""
-        label, prior, mean, var = (
-            np.array(self.getOrDefault(p), dtype=float)
-            for p in (self.classes, self.priors, self.means, self.variances))
-        return label, prior - 0.5 * np.log(2.0 * np.pi * var).sum(axis=1), mean, 0.5 / var
-
-    def _batched(self, dataset: DataFrame) -> DataFrame:
-        label, offset, mean, precision = self._parts()
-
-        @F.pandas_udf("prediction double, probability array<double>")
-        def score(batch: pd.Series) -> pd.DataFrame:
-            x = np.stack(batch.to_numpy()) if len(batch) else np.empty((0, mean.shape[1]))
-            joint = np.empty((len(x), len(label)))
-            for k in range(len(label)):
-                d = x - mean[k]
-                joint[:, k] = offset[k] - (d * d) @ precision[k]
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        label, *parts = (np.array(self.getOrDefault(p), dtype=float)
+                         for p in (self.classes, self.priors, self.means, self.variances))
+        centre, matrix = score_matrix(*parts)
+        width = len(centre)
+
+        @F.arrow_udf("struct<prediction:double,probability:array<double>>")
+        def score(batch: pa.Array) -> pa.Array:
+            joint = log_scores(batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, width), centre, matrix)
             best = joint.argmax(axis=1)  # the smallest class on a tie
             share = np.exp(joint - joint.max(axis=1, keepdims=True))
             share /= share.sum(axis=1, keepdims=True)
-            return pd.DataFrame({"prediction": label[best], "probability": list(share)})
+            at = np.arange(len(joint) + 1, dtype=np.int32) * len(label)
+            return pa.StructArray.from_arrays(
+                [pa.array(label[best]), pa.ListArray.from_arrays(at, pa.array(share.reshape(-1)))],
+                ["prediction", "probability"])
 
         return dataset.withColumn(
-            "_bayes", score(vector_to_array(F.col(self.getFeaturesCol()))))
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return self._batched(dataset).withColumns({
-            self.getPredictionCol(): F.col("_bayes.prediction"),
-            self.getProbabilityCol(): array_to_vector(F.col("_bayes.probability")),
-        }).drop("_bayes")
+            "_bayes", score(vector_to_array(F.col(self.getFeaturesCol())))).withColumns({
+                self.getPredictionCol(): F.col("_bayes.prediction"),
+                self.getProbabilityCol(): array_to_vector(F.col("_bayes.probability")),
+            }).drop("_bayes")

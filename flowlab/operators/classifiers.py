@@ -3,31 +3,31 @@
 from __future__ import annotations
 
 import logging
+import math
+import statistics
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.param import Param
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from flowlab.functions.columns import col
-from flowlab.functions.small import local_rows, use_checkpoints
+from flowlab.functions.small import local_rows
 from flowlab.operators.bayes import GaussianBayes
+from flowlab.operators.boosting import JointBoosting
 from flowlab.operators.prepare import class_weights
 from flowlab.operators.sampling import stratified_split
 
 WEIGHT = "class_weight"
 PARALLELISM = 8
-# Rows of a boosting task, at least: classes train side by side, each by many short jobs,
-# whose cost is the number of their tasks where a table is small.
-ROWS_PER_TASK = 250_000
+PATIENCE = 20  # fixed value: rounds without a lower loss before boosting ends
 
 
 @dataclass(frozen=True)
@@ -53,20 +53,20 @@ FOREST = Preset("random_forest", "Random Forest", "forest",
                 {"trees": 50, "depth": 5, "leaf": 20, "features": "sqrt"}, balanced=True)
 BOOSTING_REGULARISED = Preset(
     "boosting_regularised", "Gradient Boosting (regularised)", "boosting",
-    {"rounds": 100, "depth": 3, "rate": 0.01, "rows": 0.5, "columns": 0.5, "leaf": 10,
-     "gamma": 5.0, "bins": 256})
+    {"rounds": 100, "depth": 3, "rate": 0.01, "rows": 0.5, "columns": 0.5, "leaf": 1,
+     "leaf_weight": 10.0, "l1": 1.0, "l2": 10.0, "gamma": 5.0, "bins": 256})
 BOOSTING_REGULARISED_FALLBACK = Preset(
     "boosting_regularised", "Gradient Boosting (regularised) [fallback]", "boosting",
     {"rounds": 100, "depth": 7, "rate": 0.1, "rows": 0.8, "columns": 0.8, "leaf": 1,
-     "gamma": 0.0, "bins": 256})
+     "leaf_weight": 1.0, "l1": 0.0, "l2": 1.0, "gamma": 0.0, "bins": 256})
 BOOSTING_BALANCED = Preset(
     "boosting_balanced", "Gradient Boosting (balanced)", "boosting",
     {"rounds": 100, "depth": 7, "rate": 0.05, "rows": 0.8, "columns": 0.8, "leaf": 100,
-     "gamma": 0.0, "bins": 255}, balanced=True)
+     "leaf_weight": 0.001, "l1": 0.0, "l2": 10.0, "gamma": 0.0, "bins": 255}, balanced=True)
 BOOSTING_BALANCED_FALLBACK = Preset(
     "boosting_balanced", "Gradient Boosting (balanced) [fallback]", "boosting",
     {"rounds": 100, "depth": 7, "rate": 0.1, "rows": 0.8, "columns": 0.8, "leaf": 5,
-     "gamma": 0.0, "bins": 255})
+     "leaf_weight": 0.001, "l1": 0.0, "l2": 0.0, "gamma": 0.0, "bins": 255})
 
 PRESETS = (LOGISTIC, BAYES, FOREST, BOOSTING_REGULARISED, BOOSTING_BALANCED)
 FALLBACKS = {
@@ -75,15 +75,12 @@ FALLBACKS = {
 }
 
 
-def _gbt(preset: Preset, rows: int, seed: int, **more) -> GBTClassifier:
+def _boosting(preset: Preset, seed: int, parallelism: int, **more) -> JointBoosting:
     p = preset.params
-    return GBTClassifier(
-        maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"],
-        subsamplingRate=p["rows"], featureSubsetStrategy=str(p["columns"]),
-        minInstancesPerNode=p["leaf"], maxBins=p["bins"], seed=seed,
-        # The wanted least gain is summed over rows, Spark's is their mean.
-        minInfoGain=p["gamma"] / max(rows, 1), **more,
-    ).setRawPredictionCol(f"{preset.key}_raw")  # where one-vs-rest reads the margin
+    return JointBoosting(
+        rounds=p["rounds"], depth=p["depth"], rate=p["rate"], rows=p["rows"], columns=p["columns"],
+        leafRows=p["leaf"], leafWeight=p["leaf_weight"], l1=p["l1"], l2=p["l2"], gamma=p["gamma"],
+        bins=p["bins"], seed=seed, parallelism=parallelism, **more)
 
 
 def _classifier(preset: Preset, rows: int, label: str, seed: int, parallelism: int) -> Estimator:
@@ -93,10 +90,9 @@ def _classifier(preset: Preset, rows: int, label: str, seed: int, parallelism: i
     weight = {"weightCol": WEIGHT} if preset.balanced else {}
     if preset.family == "bayes":
         return GaussianBayes(**names, probabilityCol=f"{k}_probability", smoothing=p["smoothing"])
-    if preset.family == "boosting":
-        return OneVsRest(classifier=_gbt(preset, rows, seed), **names, **weight,
-                         rawPredictionCol=f"{k}_raw", parallelism=parallelism)
     names |= {"rawPredictionCol": f"{k}_raw", "probabilityCol": f"{k}_probability"}
+    if preset.family == "boosting":
+        return _boosting(preset, seed, parallelism, **names, **weight)
     if preset.family == "logistic":
         # The penalty is per row, and Spark scales by the sample deviation, not the
         # population one: (rows - 1) / rows makes up for that.
@@ -131,11 +127,8 @@ def fit_model(
     seed: int = 42, parallelism: int = PARALLELISM,
 ) -> PipelineModel:
     """Train one classifier on labels 0..k-1."""
-    rows = train.count() if preset.family in ("logistic", "boosting") else 0
+    rows = train.count() if preset.family == "logistic" else 0
     training = _training(preset, train, features, label)
-    if preset.family == "boosting":
-        training = training.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
-        use_checkpoints(train.sparkSession)  # cuts the lineage of many rounds
     return pipeline(preset, features, label, rows, seed, parallelism).fit(training)
 
 
@@ -158,96 +151,103 @@ def fit_with_fallback(
 
 def fit_early_stopping(
     preset: Preset, train: DataFrame, features: Sequence[str], label: str = "label",
-    fraction: float = 0.1, tolerance: float = 0.01, key_cols: Sequence[str] | None = None,
-    seed: int = 42, parallelism: int = PARALLELISM,
+    fraction: float = 0.1, patience: int = PATIENCE, key_cols: Sequence[str] | None = None,
+    seed: int = 42, parallelism: int = PARALLELISM, watched: DataFrame | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Boosting that stops when a slice cut from the training rows stops improving.
-
-    Also returns the rounds kept per class.
-    """
-    watched = stratified_split(train, label, fraction, key_cols, seed, out="watched")
-    rows = train.count()
-    training = watched.select(*[col(f) for f in features], col(label).cast("double").alias(label),
-                              "watched")
+    """Boosting that ends `patience` rounds after the lowest loss on watched rows, and keeps the
+    rounds up to it. The watched rows are `watched`, or a stratified slice of the training rows.
+
+    Also returns the loss of each round trained, and whether the round is kept."""
+    if watched is None:
+        rows = stratified_split(train, label, fraction, key_cols, seed, out="_watched")
+    else:
+        needed = [*features, label]
+        rows = (train.select(*map(col, needed)).withColumn("_watched", F.lit(False))
+                .unionByName(watched.select(*map(col, needed)).withColumn("_watched", F.lit(True))))
+    training = rows.select(*[col(f) for f in features], col(label).cast("double").alias(label), "_watched")
     if preset.balanced:
         training = class_weights(training, label, WEIGHT)
-    whole = pipeline(preset, features, label, rows, seed, parallelism)
-    assembler, chooser = whole.getStages()
-    vectors = assembler.transform(training).drop(*features).persist()
-    try:
-        classes = int(vectors.agg(F.max(label)).head()[0]) + 1
-        more = {"weightCol": WEIGHT} if preset.balanced else {}
-        base = _gbt(preset, rows, seed, validationIndicatorCol="watched", validationTol=tolerance,
-                    featuresCol=chooser.getFeaturesCol(), predictionCol=chooser.getPredictionCol(),
-                    **more)
-
-        def one(c: int):
-            binary = vectors.withColumn("_is", (F.col(label) == float(c)).cast("double"))
-            return base.copy().setLabelCol("_is").fit(binary)
-
-        with ThreadPool(min(parallelism, classes)) as pool:
-            spark = train.sparkSession
-            models = pool.map(inheritable_thread_target(spark)(one), range(classes))
-    finally:
-        vectors.unpersist()
-    chosen = chooser._copyValues(OneVsRestModel(models=models))
-    kept = local_rows(train.sparkSession, [(c, m.getNumTrees) for c, m in enumerate(models)],
-                      "class bigint, rounds int")
-    return PipelineModel(stages=[assembler, chosen]), kept
+    assembler, booster = pipeline(preset, features, label, 0, seed, parallelism).getStages()
+    booster._set(validationIndicatorCol="_watched", patience=patience)
+    model = booster.fit(assembler.transform(training))
+    return PipelineModel(stages=[assembler, model]), model.rounds_table(train.sparkSession)
 
 
 def feature_importance(
     model: PipelineModel, features: Sequence[str], spark, top: int = 15,
 ) -> DataFrame:
-    """The most important features of a tree model, averaged over the class models."""
-    last = model.stages[-1]
-    parts = last.models if isinstance(last, OneVsRestModel) else [last]
-    sums = [0.0] * len(features)
-    for part in parts:
-        for i, v in enumerate(part.featureImportances.toArray()):
-            sums[i] += float(v) / len(parts)
+    """The most important features of a tree model."""
+    sums = [float(v) for v in model.stages[-1].featureImportances.toArray()]
     order = sorted(range(len(features)), key=lambda i: (-sums[i], features[i]))[:top]
     return local_rows(spark, [(r + 1, features[i], sums[i]) for r, i in enumerate(order)],
                       "rank int, feature string, importance double")
 
 
-def boosting_grid(
-    classifier: OneVsRest, rates: Sequence[float] = (0.01, 0.05, 0.1),
-    depths: Sequence[int] = (5, 7, 10),
-) -> list[dict]:
-    """Step size by depth. Each entry replaces the whole binary classifier."""
-    base = classifier.getClassifier()
-    return ParamGridBuilder().addGrid(
-        classifier.classifier,
-        [base.copy({base.stepSize: r, base.maxDepth: d}) for r in rates for d in depths],
-    ).build()
+# The settings of the search, 27 in all.
+GRID = {"rate": (0.01, 0.05, 0.1), "depth": (5, 7, 10), "l2": (0.5, 1.0, 2.0)}
+
+
+def boosting_grid(booster: JointBoosting, **values: Sequence) -> list[dict]:
+    """All combinations of step size, depth and L2 term, the first varying slowest."""
+    grid = ParamGridBuilder()
+    for name, default in GRID.items():
+        grid.addGrid(booster.getParam(name), list(values.get(name, default)))
+    return grid.build()
+
+
+def settings(entry: dict) -> str:
+    return ", ".join(f"{param.name}={value}" for param, value in entry.items())
+
+
+def _fold_scores(
+    estimator: Estimator, entry: dict, folded: DataFrame, label: str, prediction: str, fold: str,
+    folds: int, judge: MulticlassClassificationEvaluator,
+) -> list[float]:
+    """The metric on each fold of a model fitted on the others."""
+    out = []
+    for i in range(folds):
+        model = estimator.fit(folded.where(F.col(fold) != i), entry)
+        out.append(judge.evaluate(model.transform(folded.where(F.col(fold) == i))))
+    return out
 
 
 def grid_search(
     estimator: Estimator, grid: list[dict], folded: DataFrame, label: str, prediction: str,
     fold: str = "fold", metric: str = "accuracy", parallelism: int = 2,
+    halving: tuple[Param, int] | None = None, factor: int = 3,
 ) -> tuple[object, DataFrame]:
-    """Best model by mean cross-validated metric over given folds, and all means."""
-    k = folded.agg(F.max(fold)).head()[0] + 1
+    """Best model by mean cross-validated metric over given folds, and all means.
+
+    Every setting is tried in full. With `halving`, a setting and its full value (boosting's
+    rounds, say), all are tried with a small value of it, and the best of them, 1 in `factor`,
+    again with `factor` times as much, until the full value is reached: `tried` has the value
+    that each got last. The trials run side by side, `parallelism` of them, over the same rows,
+    which should be assembled and kept by the caller; only the best is fitted on all folds."""
+    folds = folded.agg(F.max(fold)).head()[0] + 1
     judge = MulticlassClassificationEvaluator(
         labelCol=label, predictionCol=prediction, metricName=metric)
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=judge, numFolds=k,
-        foldCol=fold, parallelism=parallelism)
-    fitted = search.fit(folded.withColumn(fold, F.col(fold).cast("int")))
-
-    def text(entry: dict) -> str:
-        parts = []
-        for param, value in entry.items():
-            if isinstance(value, GBTClassifier):
-                value = f"stepSize={value.getStepSize()}, maxDepth={value.getMaxDepth()}"
-                parts.append(value)
-            else:
-                parts.append(f"{param.name}={value}")
-        return ", ".join(parts)
-
-    rows = [(i, text(g), float(m), float(s)) for i, (g, m, s) in
-            enumerate(zip(grid, fitted.avgMetrics, fitted.stdMetrics))]
+    known: dict[int, tuple[int | None, list[float]]] = {}
+    if halving is None:
+        rungs: list[int | None] = [None]
+    else:
+        resource, full = halving
+        steps = max(1, math.ceil(math.log(max(len(grid), 1), factor)))
+        rungs = sorted({max(1, full // factor ** i) for i in range(steps)})
+    left = list(range(len(grid)))
+    for n, rung in enumerate(rungs):
+        def trial(i: int) -> list[float]:
+            entry = dict(grid[i]) if rung is None else {**grid[i], resource: rung}
+            return _fold_scores(estimator, entry, folded, label, prediction, fold, folds, judge)
+
+        with ThreadPool(min(parallelism, len(left))) as pool:
+            scores = pool.map(inheritable_thread_target(folded.sparkSession)(trial), left)
+        known |= {i: (rung, s) for i, s in zip(left, scores)}
+        # The first of equal means goes on, as it wins in the end.
+        ranked = sorted(left, key=lambda i: (-statistics.fmean(known[i][1]), i))
+        left = ranked[:max(1, math.ceil(len(ranked) / factor))] if n + 1 < len(rungs) else ranked
+    best = left[0]
+    rows = [(i, settings(grid[i]), statistics.fmean(s), statistics.pstdev(s), rung, i == best)
+            for i, (rung, s) in sorted(known.items())]
     table = local_rows(folded.sparkSession, rows,
-                       f"trial int, settings string, mean_{metric} double, std_{metric} double")
-    return fitted.bestModel, table
+                       f"trial int, settings string, mean_{metric} double, std_{metric} double, tried int, best boolean")
+    return estimator.fit(folded, {**grid[best], **({resource: full} if halving else {})}), table

@@ -9,11 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.columns import col, ratio
 from flowlab.functions.verdicts import MILD, gap_verdict
-
-# Score ranges for running sums: about this many rows each.
-ROWS_PER_BUCKET = 1_000_000
-# Sampled rows per range when the ends of the ranges are chosen.
-SAMPLE_PER_BUCKET = 200
+from flowlab.operators.ranges import RANGE, ranged, with_totals_before
 
 
 def confusion_counts(
@@ -135,42 +131,18 @@ def _score_groups(df: DataFrame, score: str, positive: Column) -> DataFrame:
     )
 
 
-def _score_splits(df: DataFrame, score: str, buckets: int | None) -> list[float]:
-    """Ends of ranges with about equally many rows, from a sample: they only balance
-    the work, so the result does not depend on them."""
-    rows = df.count()
-    buckets = buckets or max(2, rows // ROWS_PER_BUCKET)
-    share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1))
-    probs = [i / buckets for i in range(1, buckets)]
-    s = col(score).cast("double")
-    ends = df.select(s.alias("s")).sample(share, 17).agg(
-        F.percentile_approx("s", probs, 10 * buckets)).head()[0]
-    inner = sorted({e for e in ends or [] if e == e and abs(e) != float("inf")})
-    return [float("-inf"), *(inner or [0.0]), float("inf")]
-
-
-def roc(df: DataFrame, score: str, positive: Column, buckets: int | None = None) -> DataFrame:
+def roc(df: DataFrame, score: str, positive: Column) -> DataFrame:
     """True and false positive rate at each distinct score, counting rows at or above it.
 
-    The running sums are taken inside score ranges and shifted by the totals of the
-    higher ranges, so no task sees more than one range.
+    Scores are dealt to tasks by ranges, from the highest; running sums are taken inside a range
+    and shifted by the totals of the higher ones, so no task sees more than one range.
     """
-    groups = _score_groups(df, score, positive)
-    splits = _score_splits(df, score, buckets)
-    ranged = Bucketizer(splits=splits, inputCol="threshold", outputCol="_b").transform(groups)
-    higher = Window.partitionBy(F.lit(1)).orderBy(F.desc("_b")).rowsBetween(
-        Window.unboundedPreceding, -1)  # one row per range, a millionth of the rows
-    whole = Window.partitionBy(F.lit(1))
-    totals = ranged.groupBy("_b").agg(F.sum("_p").alias("_bp"), F.sum("_q").alias("_bq"))
-    shift = totals.select(
-        "_b",
-        F.coalesce(F.sum("_bp").over(higher), F.lit(0)).alias("_hp"),
-        F.coalesce(F.sum("_bq").over(higher), F.lit(0)).alias("_hq"),
-        F.sum("_bp").over(whole).alias("_allp"), F.sum("_bq").over(whole).alias("_allq"),
-    )
-    upto = Window.partitionBy("_b").orderBy(F.desc("threshold"))
-    counted = ranged.join(F.broadcast(shift), "_b").select(
-        "threshold", "_p", "_q", "_allp", "_allq",
+    dealt = ranged(_score_groups(df, score, positive), [F.desc("threshold")])
+    shifted = with_totals_before(dealt, {"_hp": F.col("_p"), "_hq": F.col("_q")})
+    all_p, all_q = dealt.agg(F.sum("_p"), F.sum("_q")).head()
+    upto = Window.partitionBy(RANGE).orderBy(F.desc("threshold"))
+    counted = shifted.select(
+        "threshold", "_p", "_q", F.lit(all_p).cast("bigint").alias("_allp"), F.lit(all_q).cast("bigint").alias("_allq"),
         (F.col("_hp") + F.sum("_p").over(upto)).alias("tp"),
         (F.col("_hq") + F.sum("_q").over(upto)).alias("fp"),
     )

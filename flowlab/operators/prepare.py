@@ -7,15 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from flowlab.functions.columns import NUMERIC_TEXT, col, missing, number
 from flowlab.functions.small import settle
 from flowlab.operators.profile import numeric_columns
 from flowlab.operators.quantiles import exact_quantiles
+from flowlab.operators.ranges import ranks
 
-# First characters of a category that are ranked on their own.
-HEAD = 4
+# Indicator columns that a table may have.
+MAX_COLUMNS = 5_000
 
 
 def merge_sources(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -58,50 +59,51 @@ def categories(df: DataFrame, columns: Sequence[str], null_value: str | None = "
     """(column, category, code) with codes 0..k-1 per column, in the order of the column's
     own type: numbers by value, texts by code point. A missing value counts as the text
     `null_value`: sorted among texts, after all values of other types."""
-    kinds = dict(df.dtypes)
-    parts = []
-    for c in columns:
-        value = _category(c, null_value)
-        # The order's text is followed by its number: texts have none, numbers no text.
-        is_text = kinds[c] == "string"
-        text = value if is_text else F.when(col(c).isNull(), value)
-        size = F.lit(None).cast("double") if is_text else _size_of(c, kinds[c])
-        parts.append(F.struct(F.lit(c).alias("column"), value.alias("category"),
-                              text.alias("_text"), size.alias("_size")))
-    found = (
-        df.select(F.inline(F.array(*parts))).where("category is not null")
-        .groupBy("column", "category", "_text", "_size").agg(F.count(F.lit(1)).alias("n")).drop("n")
-    )
-    # Ranked within the first characters or the same exponent, and these within the column.
-    head = F.struct(F.substr("_text", F.lit(1), F.lit(HEAD)).alias("t"),
-                    F.floor(F.signum("_size") * F.log2(1 + F.abs("_size"))).alias("s"))
-    headed = found.withColumn("_head", head)
-    heads = headed.groupBy("column", "_head").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("column").orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    starts = heads.select("column", "_head", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("column", "_head").orderBy("_text", "_size", "category")
-    return headed.withColumn("_i", F.row_number().over(inside)).join(
-        starts.withColumnsRenamed({"column": "_c2", "_head": "_h2"}),
-        (F.col("column") == F.col("_c2")) & F.col("_head").eqNullSafe(F.col("_h2")),
-    ).select("column", "category", (F.col("_start") + F.col("_i") - 1).alias("code"))
-
-
-def _category(c: str, null_value: str | None):
+    parts = [F.struct(F.lit(c).alias("column"), category(c, null_value).alias("category"),
+                      *_order_of(c, df.schema[c].dataType, null_value)) for c in columns]
+    order = [f"_o{i}" for i in range(len(KINDS))]
+    found = (df.select(F.inline(F.array(*parts))).where("category is not null")
+             .groupBy("column", "category", *order).agg(F.count(F.lit(1)).alias("n")).drop("n"))
+    # Codes are places within ranges of values, plus all of the column's values in lower ranges.
+    places = ranks(found, [F.col(c).asc() for c in ("column", *order, "category")], ["column"], "code")
+    return places.select("column", "category", "code")
+
+
+# What values are ordered by, one after the other: texts; whole parts and fractions of exact
+# numbers; other numbers. Each column fills those of its own type and leaves the others null.
+KINDS = ("string", "decimal(38,0)", "decimal(38,37)", "double")
+
+
+def _order_of(c: str, kind: T.DataType, null_value: str | None) -> list:
+    """The values of a column in the order of its own type, without loss."""
+    value = col(c)
+    text = whole = part = size = None
+    if isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
+        text = category(c, null_value)
+    else:
+        text = F.when(value.isNull(), category(c, null_value))
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            size = value.cast("double")
+        elif isinstance(kind, T.DecimalType):
+            whole = F.floor(value)
+            part = (value - whole).cast(KINDS[2])
+        elif isinstance(kind, T.DateType):
+            whole = F.unix_date(value)
+        elif isinstance(kind, T.TimestampType):
+            whole = F.unix_micros(value)
+        elif isinstance(kind, (T.IntegralType, T.BooleanType)):
+            whole = value.cast("int") if isinstance(kind, T.BooleanType) else value
+        else:
+            text = category(c, null_value)
+    return [(F.lit(None) if x is None else x).cast(k).alias(f"_o{i}")
+            for i, (x, k) in enumerate(zip((text, whole, part, size), KINDS))]
+
+
+def category(c: str, null_value: str | None):
     text = col(c).cast("string")
     return text if null_value is None else F.coalesce(text, F.lit(null_value))
 
 
-def _size_of(c: str, kind: str):
-    """A number in the order of the column's values."""
-    if kind == "boolean":
-        return col(c).cast("int").cast("double")
-    if kind == "date":
-        return F.unix_date(col(c)).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(col(c)).cast("double")
-    return col(c).cast("double")
-
-
 def label_encode(
     df: DataFrame, columns: Sequence[str], null_value: str | None = "unknown",
     codes: DataFrame | None = None,
@@ -112,7 +114,7 @@ def label_encode(
     for i, c in enumerate(columns):
         of_column = codes.where(F.col("column") == c).select(
             F.col("category").alias(f"_k{i}"), F.col("code").alias(f"_v{i}"))
-        out = out.join(of_column, _category(c, null_value) == F.col(f"_k{i}"), "left")
+        out = out.join(of_column, category(c, null_value) == F.col(f"_k{i}"), "left")
     encoded = {c: i for i, c in enumerate(columns)}
     return out.select(*[
         F.col(f"_v{encoded[c]}").alias(c) if c in encoded else col(c) for c in df.columns
@@ -120,14 +122,17 @@ def label_encode(
 
 
 def one_hot(
-    df: DataFrame, columns: Sequence[str], null_value: str | None = "unknown",
+    df: DataFrame, columns: Sequence[str], null_value: str | None = "unknown", max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
-    """A 0/1 column `<column>_<category>` per category, in place of the column. For more
-    categories than a table should have columns, see `one_hot_vector`."""
-    rows = categories(df, columns, null_value).orderBy("column", "code").collect()  # a column each
+    """A 0/1 column `<column>_<category>` per category, in place of the column. With more than
+    `max_columns` of them this is an error; see `one_hot_vector` and the encoder."""
+    found = settle(categories(df, columns, null_value), max_columns)
+    if found.table is None:
+        raise ValueError(f"more than {max_columns} categories; encode them as vectors")
+    rows = found.df.orderBy("column", "code").collect()  # a column each
     kept = [col(c) for c in df.columns if c not in columns]
     flags = [
-        F.coalesce((_category(r["column"], null_value) == r["category"]).cast("int"), F.lit(0))
+        F.coalesce((category(r["column"], null_value) == r["category"]).cast("int"), F.lit(0))
         .alias(f"{r['column']}_{r['category']}") for r in rows
     ]
     return df.select(*kept, *flags)

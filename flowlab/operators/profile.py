@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.columns import col, missing, number
 from flowlab.functions.small import local_rows
@@ -226,3 +226,72 @@ def feature_histogram(
         .groupBy(col(label).alias(label), F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def _bounds(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Each feature's least and greatest finite value, from one scan; (0, 0) without any."""
+    types = dict(df.dtypes)
+    values = [_finite(f, types[f]) for f in features]
+    found = df.agg(*[a for v in values for a in (F.min(v), F.max(v))]).head()
+    return {f: (found[2 * i], found[2 * i + 1]) if found[2 * i] is not None else (0.0, 0.0)
+            for i, f in enumerate(features)}
+
+
+def _finite(name: str, kind: str) -> Column:
+    x = number(name, kind)
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
+def _bin(x: Column, low: float, high: float, bins: int) -> Column:
+    width = (high - low) / bins or 1.0
+    at = F.least(F.greatest(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(0)), F.lit(bins - 1))
+    return F.when(x.isNotNull(), at.cast("int"))
+
+
+def pair_panels(
+    df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 20,
+) -> DataFrame:
+    """(feature_x, feature_y, label, bin_x, bin_y, n): rows per class in the cells of a grid over
+    every two features, empty cells left out, from one scan for the bounds and one for the cells.
+    A row that lacks either value (missing or infinite) is in no cell of that pair."""
+    types, bounds = dict(df.dtypes), _bounds(df, features)
+    at = {f: _bin(_finite(f, types[f]), *bounds[f], bins) for f in features}
+    binned = df.select(col(label).alias(label), *[at[f].alias(f"_b{i}") for i, f in enumerate(features)])
+    pairs = [F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
+                      F.col(f"_b{i}").alias("bin_x"), F.col(f"_b{j}").alias("bin_y"))
+             for i, a in enumerate(features) for j, b in enumerate(features) if i < j]
+    return (binned.select(label, F.inline(F.array(*pairs))).where("bin_x IS NOT NULL AND bin_y IS NOT NULL")
+            .groupBy("feature_x", "feature_y", col(label).alias(label), "bin_x", "bin_y")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def smooth_density(
+    df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 200,
+) -> DataFrame:
+    """(feature, label, at, density): each class's smooth density of each feature at the centres
+    of `bins` bins, by a Gaussian kernel whose width is the class's deviation times n ^ -1/5.
+
+    The kernel sums run over the bins' counts, not the rows: one scan for the bounds, one for the
+    counts. A class whose values don't vary, or with fewer than two of them, has no density."""
+    types, bounds = dict(df.dtypes), _bounds(df, features)
+    values = [F.struct(F.lit(f).alias("feature"), _finite(f, types[f]).alias("_x"),
+                       _bin(_finite(f, types[f]), *bounds[f], bins).alias("_b")) for f in features]
+    rows = df.select(col(label).alias(label), F.inline(F.array(*values))).where("_x IS NOT NULL")
+    cells = rows.groupBy("feature", col(label).alias(label), "_b").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_x").alias("_s"),
+        F.var_pop("_x").alias("_v"))
+    # A class's mean and deviation from those of its bins; features x classes x bins rows.
+    part = Window.partitionBy("feature", label)
+    known = (cells.withColumn("_all", F.sum("_n").over(part)).withColumn("_mean", F.sum("_s").over(part) / F.col("_all"))
+             .withColumn("_m2", F.sum(F.col("_n") * (F.col("_v") + F.pow(F.col("_s") / F.col("_n") - F.col("_mean"), 2))).over(part))
+             .where("_all > 1 AND _m2 > 0")
+             .withColumn("_h", F.sqrt(F.col("_m2") / (F.col("_all") - 1)) * F.pow("_all", F.lit(-0.2))))
+    spans = F.create_map(*[x for f in features for x in (F.lit(f), F.array(
+        F.lit(float(bounds[f][0])), F.lit((bounds[f][1] - bounds[f][0]) / bins or 1.0)))])
+    low, width = spans[F.col("feature")][0], spans[F.col("feature")][1]
+    # Each bin's mean stands for its rows: closer to the sum over the rows than its centre.
+    each = known.withColumn("at", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: low + (i + 0.5) * width)))
+    z = (F.col("at") - F.col("_s") / F.col("_n")) / F.col("_h")
+    kernel = F.col("_n") * F.exp(-0.5 * z * z) / (F.col("_all") * F.col("_h") * F.sqrt(2 * F.pi()))
+    return each.groupBy("feature", label, "at").agg(F.sum(kernel).alias("density"))

@@ -35,6 +35,33 @@ def stratified_sample(
     return part.where("_segment = 0").drop("_segment")
 
 
+def approximate_sample(
+    df: DataFrame, fraction: float = 0.12, key_cols: Sequence[str] | None = None, seed: int = 42,
+) -> DataFrame:
+    """Keeps each row whose hash is in the lowest `fraction` of all hashes: one scan, no ranks and
+    no shuffle, the same rows on every run and whatever else the table holds.
+
+    Class sizes are exact on average only: of n rows with hashes of their own, n * fraction are
+    kept, give or take sqrt(n * fraction * (1 - fraction)) in two classes of three; rows that
+    share a key stay or go together. `sample_errors` holds a sample against that."""
+    limit = min(max(round(fraction * 16 ** 32), 0), 16 ** 32)
+    if limit == 16 ** 32:
+        return df
+    return df.where(_order(df, key_cols, seed)[0] < f"{limit:032x}")
+
+
+def sample_errors(df: DataFrame, sample: DataFrame, label: str, fraction: float) -> DataFrame:
+    """Per class: rows, kept rows, the expected number, and how many standard errors lie between."""
+    sizes = df.groupBy(col(label).alias(label)).agg(F.count(F.lit(1)).alias("rows"))
+    kept = sample.groupBy(col(label).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    expected = F.col("rows") * F.lit(fraction)
+    error = F.sqrt(expected * F.lit(1.0 - fraction))
+    n = F.coalesce("_n", F.lit(0))
+    return sizes.join(kept, col(label).eqNullSafe(F.col("_c")), "left").select(
+        label, "rows", n.alias("kept"), expected.alias("expected"),
+        F.coalesce(F.try_divide(n - expected, error), F.lit(0.0)).alias("errors_off"))
+
+
 def random_split(
     df: DataFrame, fraction: float = 0.2, key_cols: Sequence[str] | None = None,
     seed: int = 42, out: str = "is_test",

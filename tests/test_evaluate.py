@@ -58,14 +58,31 @@ def test_verdict_bounds(spark):
     assert got == ["excellent"] * 3 + ["good", "mild overfitting", "overfitting", "overfitting"]
 
 
-@pytest.mark.parametrize("buckets", [1000, 7, 2])
-def test_roc_equals_sorting(spark, buckets):
+@pytest.mark.parametrize("partitions", ["200", "7", "1"])
+def test_roc_equals_sorting(spark, monkeypatch, partitions):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _roc_equals_sorting(spark)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_roc_plan_does_not_grow_with_the_rows(spark):
+    df = spark.range(5000).select((F.col("id") / 7).alias("s"), (F.col("id") % 3 == 0).alias("y"))
+    plans = [V.roc(df.limit(n), "s", F.col("y"))._jdf.queryExecution().optimizedPlan().toString() for n in (50, 5000)]
+    assert abs(len(plans[0]) - len(plans[1])) < 200
+
+
+def _roc_equals_sorting(spark):
     rng = np.random.default_rng(1)
     scores = np.round(rng.random(500), 2)
     scores[:200] = 0.5
     y = rng.random(500) < scores
     df = spark.createDataFrame(list(zip(scores.tolist(), y.tolist())), "s double, y boolean")
-    got = V.roc(df, "s", F.col("y"), buckets).orderBy(F.desc("threshold")).collect()
+    got = V.roc(df, "s", F.col("y")).orderBy(F.desc("threshold")).collect()
     for r in got:
         assert r["tp"] == int((y & (scores >= r["threshold"])).sum())
         assert r["fp"] == int((~y & (scores >= r["threshold"])).sum())

@@ -89,16 +89,22 @@ def test_streamed_rows_score_alike(spark, data, fitted, tmp_path):
     assert got[want.columns].equals(want)
 
 
-def test_early_stopping_keeps_fewer_rounds(data):
-    preset = C.BOOSTING_BALANCED.with_params(rounds=12, depth=5, rate=1.0, leaf=1)
-    model, kept = C.fit_early_stopping(preset, data[0], FEATURES, key_cols=["id"])
-    assert max(r["rounds"] for r in kept.collect()) < 12
+@pytest.mark.parametrize("given", [False, True])
+def test_early_stopping_keeps_the_rounds_up_to_the_lowest_loss(data, given):
+    preset = C.BOOSTING_BALANCED.with_params(rounds=12, depth=5, rate=1.0, leaf=1, l2=0.5)
+    model, found = C.fit_early_stopping(preset, data[0], FEATURES, key_cols=["id"], patience=3,
+                                        watched=data[1] if given else None)
+    rows = found.orderBy("round").collect()
+    losses = [r["loss"] for r in rows]
+    best = losses.index(min(losses))
+    assert len(rows) == min(12, best + 4) and [r["kept"] for r in rows] == [i <= best for i in range(len(rows))]
+    assert model.stages[-1].rounds == best + 1
     scored = S.predict_attacks(data[1], {preset.key: model})
     assert V.accuracy(V.confusion_counts(scored, prediction=f"{preset.key}_prediction")).head()[0] > 0.8
 
 
 def test_importance_finds_the_useful_features(spark, fitted):
-    for key in ("random_forest", "boosting_regularised"):
+    for key in ("random_forest", "boosting_regularised", "boosting_balanced"):
         rows = C.feature_importance(fitted[key], FEATURES, spark, 2).collect()
         assert {r["feature"] for r in rows} == {"x0", "x1"}
 
@@ -107,11 +113,18 @@ def test_fallback_takes_the_next_preset(data):
     broken = C.BOOSTING_REGULARISED.with_params(rows=2.0)
     used, model, errors = C.fit_with_fallback([broken, BRIEF[3]], lambda p: C.fit_model(p, data[0], FEATURES))
     assert used == BRIEF[3] and isinstance(model, PipelineModel)
-    assert len(errors) == 1 and "subsamplingRate" in errors[0]
+    assert len(errors) == 1 and "rows is a share" in errors[0]
     with pytest.raises(Exception):
         C.fit_with_fallback([broken], lambda p: C.fit_model(p, data[0], FEATURES))
 
 
+def test_grid_has_all_settings_of_the_search(data):
+    booster = C.pipeline(C.BOOSTING_REGULARISED, FEATURES, "label", 0).getStages()[-1]
+    grid = C.boosting_grid(booster)
+    assert len(grid) == len({C.settings(g) for g in grid}) == 27
+    assert {tuple(p.name for p in g) for g in grid} == {("rate", "depth", "l2")}
+
+
 def test_grid_search_prefers_the_better_setting(data):
     folded = M.assign_folds(data[0], "label", 3, ["id"])
     pipe = C.pipeline(BRIEF[2], FEATURES, "label", 0)
@@ -119,8 +132,24 @@ def test_grid_search_prefers_the_better_setting(data):
     forest = pipe.getStages()[-1]
     grid = C.ParamGridBuilder().addGrid(forest.maxDepth, [0, 4]).build()
     _, table = C.grid_search(pipe, grid, folded, "label", "random_forest_prediction")
-    means = [r["mean_accuracy"] for r in table.orderBy("trial").collect()]
-    assert means[1] > means[0] + 0.1
+    rows = table.orderBy("trial").collect()
+    assert rows[1]["mean_accuracy"] > rows[0]["mean_accuracy"] + 0.1
+    assert [r["best"] for r in rows] == [False, True] and rows[0]["tried"] is None
+
+
+def test_halving_finds_the_best_of_the_whole_search(data):
+    folded = M.assign_folds(data[0].limit(200), "label", 2, ["id"])
+    assembler, booster = C.pipeline(BRIEF[3].with_params(rounds=4), FEATURES, "label", 0).getStages()
+    vectors = assembler.transform(folded).persist()
+    grid = C.boosting_grid(booster, rate=(0.001, 0.3), depth=(1, 3), l2=(1.0,))
+    prediction = "boosting_regularised_prediction"
+    _, whole = C.grid_search(booster, grid, vectors, "label", prediction, parallelism=4)
+    model, halved = C.grid_search(booster, grid, vectors, "label", prediction, parallelism=4,
+                                  halving=(booster.rounds, 4), factor=2)
+    vectors.unpersist()
+    best = lambda t: [r["settings"] for r in t.where("best").collect()]
+    assert best(whole) == best(halved) and model.rounds == 4
+    assert sorted(r["tried"] for r in halved.collect()) == [2, 2, 4, 4] and whole.count() == 4
 
 
 def test_evaluation_record(spark, data):
