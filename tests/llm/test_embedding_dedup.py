@@ -31,7 +31,7 @@ def brute(rows, cosine=0.98):
             break
     out = []
     for i, v, k in rows:
-        n = len(links.get((i, tuple(v) if v else v, k), ()))
+        n = len(links.get((i, None if v is None else tuple(v), k), ()))
         out.append((i, n, None if i is None else least[i], i is not None and least[i] == i))
     return sorted(out, key=repr)
 
