@@ -422,11 +422,14 @@ def one_hot(spark, sf_dir):
                      ["o_orderstatus"])
 
 
-_ORDERED = "(SELECT DISTINCT coalesce(o_orderpriority, 'unknown') AS p FROM orders)"
+_PRIORITIES = "(SELECT DISTINCT o_orderpriority AS p FROM orders WHERE o_orderpriority IS NOT NULL)"
 
 
-@query("one_hot_vector", f"""SELECT o_orderkey, o_orderpriority, string_agg(CAST(p = o_orderpriority AS INTEGER), ',' ORDER BY p)
-    AS indicators FROM orders, {_ORDERED} GROUP BY o_orderkey, o_orderpriority""")
+# The last indicator is that of a missing value.
+@query("one_hot_vector", f"""SELECT o_orderkey, o_orderpriority,
+    string_agg(CASE WHEN p = o_orderpriority THEN 1 ELSE 0 END, ',' ORDER BY p) || ',' ||
+    CASE WHEN o_orderpriority IS NULL THEN 1 ELSE 0 END AS indicators
+  FROM orders, {_PRIORITIES} GROUP BY o_orderkey, o_orderpriority""")
 def one_hot_vector(spark, sf_dir):
     """The indicators of each order's priority, written out."""
     rows = P.one_hot_vector(
