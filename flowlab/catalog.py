@@ -272,14 +272,14 @@ def correlation_pairwise(spark, sf_dir):
 
 
 SPARSE = ["user_id", "value", "total", "half", "phase"]
-SPARSE_MERGED = f"""{MERGED}, flows AS (SELECT *, CAST(user_id % 100 AS DOUBLE) AS phase,
-  CASE WHEN user_id % 2 = 0 THEN value + (user_id % 100) / 5 END AS half FROM merged)"""
+SPARSE_MERGED = f"""{MERGED}, flows AS (SELECT *, CAST(CAST(substr(id, 2) AS BIGINT) % 100 AS DOUBLE) AS phase,
+  CASE WHEN user_id % 2 = 0 THEN value + (CAST(substr(id, 2) AS BIGINT) % 100) / 2 END AS half FROM merged)"""
 
 
 def sparse(spark, sf_dir) -> DataFrame:
     """Numeric columns of two sources, each null where the other one's rows are."""
-    phase = F.col("user_id") % 100
-    half = F.when(F.col("user_id") % 2 == 0, F.col("value") + phase / 5)
+    phase = F.substring("id", 2, 20).cast("bigint") % 100
+    half = F.when(F.col("user_id") % 2 == 0, F.col("value") + phase / 2)
     return P.merge_sources(*sources(spark, sf_dir)).withColumns({"phase": phase.cast("double"), "half": half})
 
 
