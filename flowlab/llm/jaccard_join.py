@@ -52,8 +52,8 @@ class PartEnum:
 
     percent: int
     band: float = 1.4     # largest by smallest size of a band
-    away: int = 0         # features in which a first-level partition may differ
-    parts: int = 1        # second-level parts of a partition, more than `away`
+    away: int = 1         # features in which a first-level partition may differ
+    parts: int = 3        # second-level parts of a partition, more than `away`
     finer: int = 3        # fingerprints by each part that could differ
 
     def bounds(self, most: int = 1 << 40) -> list[int]:
