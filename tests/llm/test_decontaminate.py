@@ -73,10 +73,10 @@ def test_short_items_are_found_where_they_stand_exactly(spark, make_docs):
     """Too short for an edit: exactly, between word bounds, which scripts without spaces have
     at every character."""
     items = spark.createDataFrame([(1, "Who is it, Bob 42?"), (2, "one"), (3, "什么是最大的行星"), (4, "?!"), (5, None),
-                                   (6, " \n"), (7, "it"), (8, "seventeen letters")], ITEMS)
+                                   (6, " \n"), (7, "it"), (8, "sixteen letters")], ITEMS)
     docs = make_docs([(1, "He said: who is\nit - bob 42!"), (2, "someone, oneself, bones"), (3, "the One"),
                       (4, "问题:什么是最大的行星?答案是木星"), (5, "我想知道什么是最大的行星吗"), (6, "who is it bob 421"),
-                      (7, "Seventeen letters."), (8, "seventeen lettersx"), (9, "?!"), (10, None)])
+                      (7, "Sixteen letters."), (8, "sixteen lettersx"), (9, "?!"), (10, None)])
     found = {tuple(r)[:2] for r in D.find_leaks(docs, items).collect()}
     assert found == {(1, 1), (1, 7), (3, 2), (4, 3), (5, 3), (6, 7), (7, 8)}
     assert {r["doc_id"] for r in D.without_leaks(docs, items).collect()} == {2, 8, 9, 10}
