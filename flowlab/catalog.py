@@ -846,13 +846,13 @@ def preset_fallback(spark, sf_dir):
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    """All 27 settings by halving: tried with one round, the best third with three, of these with nine."""
+    """All 27 settings by halving: tried with one round, the best third of them with three."""
     train, _ = banded(spark, sf_dir)
     folded = M.assign_folds(M.cv_subsample(train, "band", 30_000, KEY), "band", 3, KEY)
     assembler, booster = C.pipeline(C.BOOSTING_REGULARISED_FALLBACK, MODEL_FEATURES, "band", 0).getStages()
     vectors = assembler.transform(folded).withColumn("band", F.col("band").cast("double")).persist()
     out = C.grid_search(booster, C.boosting_grid(booster), vectors, "band", booster.getPredictionCol(),
-                        parallelism=4, halving=(booster.rounds, 9))[1]
+                        parallelism=4, halving=(booster.rounds, 3))[1]
     vectors.unpersist()
     return out
 
