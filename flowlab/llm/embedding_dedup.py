@@ -376,11 +376,12 @@ def _pairs(dealt: DataFrame, centres: DataFrame, cosine: float) -> DataFrame:
     """(unit, side, class, n, vector): each block with itself and each two that can meet."""
     reach = math.sqrt(2.0 - 2.0 * cosine) + SLACK
 
-    @F.pandas_udf("double")
-    def apart(p, q):
-        return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.array(
-            [np.frombuffer(a) @ np.frombuffer(b) if a is not None and b is not None else 1.0
-             for a, b in zip(p, q)]))) + 0.0
+    @F.arrow_udf("double")
+    def apart(p: pa.Array, q: pa.Array) -> pa.Array:
+        """The distance of two centres; blocks without one (of an uncut label) aren't paired."""
+        dots = [np.frombuffer(a) @ np.frombuffer(b) if a is not None and b is not None else 1.0
+                for a, b in zip(p.to_pylist(), q.to_pylist())]
+        return pa.array(np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.array(dots, np.float64))))
 
     block = F.concat_ws(":", F.col("cell"), F.col("part"))
     blocks = (dealt.groupBy("kind", "cell", "part").agg(F.max("apart").alias("radius"))
