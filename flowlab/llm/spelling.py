@@ -46,23 +46,23 @@ DELETED = 199
 PARTS = 8
 
 
-def runs_of(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(word): every run of letters, lower-cased; one in DELETED, chosen by hash of the id and
-    the run, lacks a letter."""
-    run = F.translate("run", UPPER, LOWER)
+def runs_of(docs: DataFrame, length: int = 1, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(word): every run of at least `length` letters, lower-cased; one in DELETED, chosen by hash
+    of the id and the run, lacks a letter."""
     mark = F.crc32(F.concat(F.coalesce(F.col("id"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
     at = F.pmod("h", F.length("run")).cast("int")
     cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
     return (docs.select(col(id_col).cast("string").alias("id"),
-                        F.explode(F.split(text_of(text), OTHER)).alias("run"))
-            .where("run <> ''").select("id", run.alias("run")).withColumn("h", mark)
+                        F.explode(F.split(F.translate(text_of(text), UPPER, LOWER), OTHER)).alias("run"))
+            .where(F.length("run") >= max(length, 1)).withColumn("h", mark)
             .select(F.when(F.pmod("h", F.lit(DELETED)) == 0, cut).otherwise(F.col("run")).alias("word")))
 
 
 def frequent_words(docs: DataFrame, length: int = 6, times: int = 5,
                    id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(word, n) of words of at least `length` code points and `times` occurrences."""
-    return (runs_of(docs, id_col, text).where(F.length("word") >= length)
+    # A run that lacks a letter is a shorter word, so shorter runs give none.
+    return (runs_of(docs, length, id_col, text).where(F.length("word") >= length)
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= times))
 
 
@@ -116,7 +116,8 @@ def _signed(parts: int):
 
 
 def near_vectors(words: DataFrame, parts: int = PARTS) -> DataFrame:
-    """(a, b), a < b: the sorted letters of words whose vectors are at most two features apart."""
+    """(a, b), a < b: the sorted letters of words whose vectors are at most two features apart,
+    of sizes that differ by one at most."""
     vectors = stored(words.select(letters(F.col("word")).alias("v")).distinct()
                      .mapInArrow(_signed(parts), "v string, f array<long>, s array<long>"))
     met = vectors.select("v", F.explode("s").alias("s"))
