@@ -152,3 +152,38 @@ def test_odd_tables(spark):
         B.JointBoosting(rounds=2).fit(df.limit(0))
     with pytest.raises(ValueError):
         B.JointBoosting(rows=1.5)
+
+
+def test_a_round_takes_the_same_passes_for_any_number_of_classes(spark):
+    context, jobs = spark.sparkContext, []
+    for k in (2, 6):
+        df, _, _ = table(spark, 400, k=k)
+        context.setJobGroup(f"classes{k}", "boosting")
+        B.JointBoosting(rounds=2, depth=2, leafWeight=0.0).fit(df)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"classes{k}")))
+    context.setJobGroup("others", "")
+    assert jobs[0] == jobs[1] > 0
+
+
+def test_rows_beyond_the_sample_get_the_margins_of_the_model(spark):
+    df = spark.range(30_000).selectExpr("id", "sin(id * 1.7) x0", "cos(id * 0.3) * 5 x1", "id % 7 * 1.0 x2").selectExpr(
+        "*", "cast(x0 > 0.2 as int) + cast(x1 > x2 - 3 as int) label", "id % 3 = 0 held")
+    df = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
+    model = B.JointBoosting(rounds=4, depth=4, rate=0.5, bins=16, rows=0.7, leafWeight=0.0, patience=9,
+                            validationIndicatorCol="held").fit(df)
+    rows = model.transform(df.where("held")).select("probability", "label", "prediction").collect()
+    # The last kept round's loss, taken over codes, is that of the scored rows.
+    assert -np.log([r["probability"][r["label"]] for r in rows]).mean() == pytest.approx(model.losses[model.rounds - 1])
+    assert np.mean([r["prediction"] == r["label"] for r in rows]) > 0.9
+
+
+def test_thresholds_part_the_weight_evenly():
+    rng = np.random.default_rng(1)
+    values, weights = np.arange(5000.0), rng.random(5000) * (1 + np.arange(5000) % 3)
+    upto, target, want = np.cumsum(weights), weights.sum() / 32, []
+    for i in range(1, 5000):
+        if abs(upto[i - 1] - target) < abs(upto[i] - target):
+            want.append(values[i] - 0.5)
+            target += weights.sum() / 32
+    assert B.quantiles(values, weights, 31).tolist() == want and len(want) == 31
+    assert B.quantiles(values[:4], weights[:4], 3).tolist() == [0.5, 1.5, 2.5]
