@@ -167,3 +167,14 @@ def test_clean_drops_redundant_and_flat_columns(spark, data):
     # x0 and its copy tie, so the earlier one goes; x2 never varies.
     assert kept.columns == ["x1", "label", "copy"]
     assert {r["feature"] for r in report.where("NOT kept").collect()} == {"x0"}
+
+
+def test_a_forest_deals_its_rows_to_tasks_of_bounded_size(spark, monkeypatch):
+    rows = spark.range(5000).selectExpr("id * 1.0 x0", "id % 9 * 1.0 x1", "id % 2 label").coalesce(1).persist()
+    monkeypatch.setattr(C, "FOREST_BYTES", 1 << 16)
+    dealt = C._dealt(rows, 5000, 2, 10)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) * (4 * 2 + 4 * 10 + 128) < 2 << 16
+    monkeypatch.setattr(C, "FOREST_BYTES", 1 << 28)
+    assert C._dealt(rows, 5000, 2, 10).rdd.getNumPartitions() == 1
+    rows.unpersist()
