@@ -91,6 +91,52 @@ def test_codes_beyond_the_broadcast_limit(spark, monkeypatch):
     assert all(r["i"] == r["id"] % 20 for r in model.transform(df).collect())
 
 
+def made_many(monkeypatch):
+    """Few categories are many, and few rows are a range of their own."""
+    from flowlab.functions import small
+
+    monkeypatch.setattr(small, "MAX_LOCAL_ROWS", 3)
+    monkeypatch.setattr(R, "RANGE_ROWS", 200)
+
+
+def odd_rows(spark):
+    num = [None, 1.5, float("nan"), -0.25, float("inf"), -0.0, 0.0, float("-inf"), 1e300]
+    rows = [(i, 2 ** 53 + i % 61 if i % 3 else 7, Decimal(10 ** 20 + i % 50) if i % 7 else None, num[i % 9],
+             None if i % 11 == 0 else ["b", "é", "A", "", "b\0", "😀", "ﬀ"][i % 7] * (1 + i % 13), bool(i % 2) if i % 5 else None)
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, big long, wide decimal(25,2), num double, text string, flag boolean")
+    return df.withColumn("at", F.timestamp_micros(F.col("big"))).withColumn("day", F.date_from_unix_date(F.col("id").cast("int") % 70))
+
+
+@pytest.mark.parametrize("null_value, columns", [("unknown", ["big", "num", "text", "at"]), (None, ["wide", "num", "day"])])
+def test_codes_by_ranges_equal_those_joined(spark, monkeypatch, null_value, columns):
+    df = odd_rows(spark).select("id", *columns)
+    want = P.label_encode(df, columns, null_value)
+    rows = sorted(map(str, want.collect()))
+    made_many(monkeypatch)
+    got = P.label_encode(df, columns, null_value)
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == rows
+
+
+def test_a_frequent_value_is_spread_over_the_tasks(spark, monkeypatch):
+    made_many(monkeypatch)
+    df = spark.range(0, 4000, 1, 20).select("id", F.when(F.col("id") % 4 > 0, "same").otherwise(
+        F.format_string("k%04d", F.col("id"))).alias("c")).persist()
+    coded = P.label_encode(df, ["c"])
+    sizes = [r["count"] for r in coded.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000, sizes  # 3000 rows have one value
+    raw = df.select("id", F.col("c").alias("raw")).join(coded, "id").select("raw", "c").distinct().collect()
+    assert {r["raw"]: r["c"] for r in raw} == {v: i for i, v in enumerate(sorted(r["raw"] for r in raw))} and len(raw) == 1001
+    df.unpersist()
+
+
+def test_rows_are_shuffled_once_for_a_column_of_many_categories(spark, monkeypatch):
+    made_many(monkeypatch)
+    df = spark.range(1000).select("id", F.format_string("k%04d", F.col("id")).alias("c"))
+    plan = P.label_encode(df, ["c"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def test_one_hot_refuses_too_many_columns(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError, match="more than 10"):
