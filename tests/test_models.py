@@ -178,3 +178,16 @@ def test_a_forest_deals_its_rows_to_tasks_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(C, "FOREST_BYTES", 1 << 28)
     assert C._dealt(rows, 5000, 2, 10).rdd.getNumPartitions() == 1
     rows.unpersist()
+
+
+def test_a_forest_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def marked(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 400, 1, 2).selectExpr("id % 7 * 1.0d x0", "id % 2 label").mapInArrow(marked, "x0 double, label long")
+    model = C.fit_model(C.FOREST.with_params(trees=3, leaf=2), rows, ["x0"])
+    assert seen.value == 400 and model.stages[-1].getNumTrees == 3
