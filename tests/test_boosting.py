@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from flowlab.operators import boosting as B
 from flowlab.operators import trees as T
@@ -187,3 +189,56 @@ def test_thresholds_part_the_weight_evenly():
             target += weights.sum() / 32
     assert B.quantiles(values, weights, 31).tolist() == want and len(want) == 31
     assert B.quantiles(values[:4], weights[:4], 3).tolist() == [0.5, 1.5, 2.5]
+
+
+def test_blocks_are_bounded_whatever_the_batches():
+    n, width = 30_000, 40
+    x = np.random.default_rng(1).normal(size=(n, width))
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(a, b)), B._lists(x[a:b]), pa.array(np.arange(a, b) % 3, pa.int32()), pa.array(np.ones(b - a)),
+         pa.array(np.zeros(b - a, bool))], ["row", "x", "label", "weight", "held"])
+        for a, b in ((0, 10_000), (10_000, 10_007), (10_007, 20_000), (20_000, n))]
+    blocks = list(B._each(B._packed(batches)))
+    assert max(len(b["x"]) for b in blocks) <= 8 * B.BLOCK_VALUES == 1 << 20
+    assert [b["start"] for b in blocks] == np.cumsum([0, *(b["count"] for b in blocks)])[:-1].tolist()
+    assert b"".join(b["x"] for b in blocks) == x.tobytes() and sum(b["count"] for b in blocks) == n
+
+
+@pytest.mark.parametrize("watched", [False, True])
+def test_one_task_and_many_grow_the_same_trees(spark, monkeypatch, watched):
+    df, _, _ = table(spark, 900, k=4)
+    df = df.repartition(5, "id").withColumn("held", F.col("id") % 4 == 0).withColumn("w", 1 + F.col("id") % 3)
+    more = {"validationIndicatorCol": "held", "patience": 9} if watched else {}
+    booster = B.JointBoosting(rounds=7, depth=3, rate=0.6, rows=0.8, columns=0.7, leafRows=3, weightCol="w", **more)
+    jobs, context = [], spark.sparkContext
+    for values in (B.ALONE_VALUES, 0):
+        monkeypatch.setattr(B, "ALONE_VALUES", values)
+        monkeypatch.setattr(B, "TASK_VALUES", 4000)
+        monkeypatch.setattr(B, "KEPT_BYTES", 5000)
+        monkeypatch.setattr(B, "CUT_ROUNDS", 2)
+        context.setJobGroup(f"fit{values}{watched}", "boosting")
+        model = booster.fit(df)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"fit{values}{watched}")))
+        if values:
+            alone = model
+    context.setJobGroup("others", "")
+    assert jobs[0] < 7 < jobs[1]  # no job for each round, where a task can hold the rows
+    assert alone.rounds == model.rounds and np.allclose(alone.losses, model.losses) and bool(alone.losses) == watched
+    a, b = ([r["raw"].toArray() for r in m.transform(df).orderBy("id").collect()] for m in (alone, model))
+    assert np.allclose(a, b, atol=1e-9)
+
+
+def test_kept_rows_lie_in_partitions_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(B, "ALONE_VALUES", 0)
+    monkeypatch.setattr(B, "KEPT_BYTES", 1 << 16)
+    monkeypatch.setattr(B, "TASK_VALUES", 1 << 16)
+    tasks, parts = [], []
+    passes, persist = B.JointBoosting._passes, DataFrame.persist
+    monkeypatch.setattr(B.JointBoosting, "_passes", staticmethod(
+        lambda rows, *more: (tasks.append(rows.rdd.getNumPartitions()), passes(rows, *more))[1]))
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *more: (parts.append(df), persist(df, *more))[1])
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.range(20_000).selectExpr("id * 0.5d a", "id % 7 * 1d b", "id % 3 label"))
+    B.JointBoosting(rounds=1, depth=1).fit(df.coalesce(2))
+    # 20,000 rows of 41 bytes fill 13 partitions of 64 kB; 120,000 values are read by two tasks.
+    assert {d.rdd.getNumPartitions() for d in parts if "margins" in d.columns} == {13} and set(tasks) == {2}
