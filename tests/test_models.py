@@ -208,7 +208,7 @@ class Done(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["score_flow", "train_and_compare"])
+@pytest.mark.parametrize("name", ["score_flow", "train_and_compare", "training_run"])
 def test_the_whole_flows_train_the_presets_as_they_are(spark, tmp_path, monkeypatch, name):
     spark.range(600).selectExpr(
         "id l_orderkey", "id % 40 l_partkey", "id % 12 l_suppkey", "1 l_linenumber", "id % 50 + 1.0d l_quantity",
